@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tokens
+from . import leaks, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +32,14 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_table(spark, sf_dir, "documents"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the evaluation items whose passages they contain."""
+    found = leaks.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_item"))
+    return leaks.leaked(found).select("doc_id", "item_id").distinct()
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p4_budget, p4_records, p8_ids)}
+    return {f.__name__: f for f in (p4_budget, p4_records, p8_ids, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
