@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import leaks, tokens
+from . import copies, leaks, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,17 @@ def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_records(t("rpg_dataset"), t("lora_translator"))
 
 
+def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record with the smallest id among its copies and their number."""
+    t = lambda name: _table(spark, sf_dir, name)
+    return copies.classes(copies.canonical_rows((t("rpg_dataset"), "rec_id", "output"), (t("lora_storyteller"), "rec_id", "conversations")))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies but for formatting, each with the smallest id of its group."""
+    return copies.pairs(p7_classes(spark, sf_dir))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each document by byte_bpe_50k."""
     return tokens.encode(_table(spark, sf_dir, "documents"))
@@ -39,7 +50,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p4_budget, p4_records, p8_ids, p9_found)}
+    return {f.__name__: f for f in (p4_budget, p4_records, p7_found, p7_classes, p8_ids, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
