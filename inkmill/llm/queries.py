@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, leaks, tokens
+from . import copies, leaks, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with template slots, filler, error messages or demands for scripts."""
+    t = lambda name: _table(spark, sf_dir, name)
+    return residue.residue(t("rpg_dataset"), t("literature_dataset")).select("rec_id").distinct()
+
+
 def p4_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens by table, source, language and domain."""
     t = lambda name: _table(spark, sf_dir, name)
@@ -50,7 +56,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p4_budget, p4_records, p7_found, p7_classes, p8_ids, p9_found)}
+    return {f.__name__: f for f in (p1_found, p4_budget, p4_records, p7_found, p7_classes, p8_ids, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
