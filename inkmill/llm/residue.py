@@ -16,12 +16,12 @@ from .text import fold
 # Shapes of template slots that nobody filled.
 SLOTS = re.compile(
     r"\{\{[^{}\n]{0,80}\}\}|<<[A-Za-z_ ]{1,40}>>|\{\{\{[^{}\n]{0,40}\}\}|\{%[^%\n]{1,80}%\}|<%[^%\n]{1,80}%>|\$\{[^{}\n]{1,60}\}|#\{[^{}\n]{1,60}\}"
-    r"|\{[A-Za-z_][\w.\- ]{0,40}\}|\{\d{1,2}\}"
+    r"|\{[^\W\d][^{}\n:\"',]{0,40}\}|\{\d{1,2}\}|<\?=?[^<>\n]{1,60}\?>|\$[A-Z][A-Z_]+\$|\[\$?[A-Z]+_[A-Z_]+\]|\[%[^%\n]{1,40}%\]"
     r"|%\([A-Za-z_]\w*\)[sd]|%[A-Z][A-Z_]{2,}%|(?<![\w%])%[sd](?!\w)"
     r"|@@\w{2,}@@|__[A-Z][A-Z_]+__|<[A-Z]+_[A-Z_]+>"
     r"|<(?:insert|add|enter|your|fill|todo|placeholder|por completar|completar|insertar|insérer|ajouter|à compléter|einfügen|hier)\b[^<>\n]{0,60}>"
     r"|\[\[?\s*(?:TBD|TODO|TBA|FIXME|XXX)\b[^\[\]\n]{0,80}\]"
-    r"|\[(?:INSERT|ENTER|ADD|YOUR|Your|Insert|Enter|PLACEHOLDER|Placeholder|NAME|NOM|NOMBRE|ORT|LUGAR|LIEU|EINFÜGEN|INSÉRER|INSERTAR)\b[^\[\]\n]{0,60}\]"
+    r"|\[(?:INSERT|ENTER|ADD|YOUR|Your|Insert|Enter|PLACEHOLDER|Placeholder|NAME|NOM|NOMBRE|ORT|LUGAR|LIEU|EINFÜGEN|INSÉRER|INSERTAR|insert|enter|your|add|insérer|ajouter|compléter|insertar|añadir|completar|einfügen|ergänzen|hier)\b[^\[\]\n]{0,60}\]"
     r"|\[[^\[\]\n]{1,80} (?:pending|goes here|to be added|à venir|pendiente|ausstehend)\]"
     r"|\[object Object\]"
     r"|[【〔［\[][^】〕］\]\n]{0,20}(?:入力|記入|ここに|填写|補充|补充|待定|未定|輸入|输入)[^】〕］\]\n]{0,20}[】〕］\]]"
@@ -45,11 +45,11 @@ ERRORS = re.compile(
     r"|accès refusé|page introuvable|n'a pas été trouvée?|introuvable|erreur (?:\d{3}|interne|serveur|inattendue)|une erreur (?:interne |inattendue )?(?:s'est produite|est survenue)|service (?:temporairement )?indisponible|session (?:a )?expirée?|en maintenance|trop de requêtes"
     r"|acceso denegado|página no encontrada|no se encontró la página|error interno|se produjo un error|ha ocurrido un error|servicio (?:temporalmente )?no disponible|sesión (?:ha )?(?:expirado|caducado)|en mantenimiento|demasiadas solicitudes"
     r"|zugriff verweigert|seite (?:wurde )?nicht gefunden|wurde nicht gefunden|interner (?:server)?fehler|ein fehler ist aufgetreten|fehler \d{3}|nicht verfügbar|sitzung (?:ist )?abgelaufen|wartungsarbeiten|zu viele anfragen"
-    r"|アクセスが拒否|アクセスできません|ページが見つかりません|見つかりませんでした|削除されたか|非公開です|エラーが発生|内部エラー|メンテナンス中|タイムアウト|セッション(?:の有効期限|が切れ)|混み合って|利用できません"
+    r"|アクセスが拒否|アクセスが集中|しばらくしてから再度|アクセスできません|ページが見つかりません|見つかりませんでした|削除されたか|非公開です|エラーが発生|内部エラー|メンテナンス中|タイムアウト|セッション(?:の有効期限|が切れ)|混み合って|利用できません"
     r"|访问被拒绝|拒绝访问|找不到页面|页面不存在|页面未找到|不存在或已被删除|已被删除|服务器(?:内部)?错误|发生错误|出错了|出现错误|暂时(?:无法|不可用)|服务不可用|请求超时|连接超时|维护中|会话已过期|请求过于频繁"
 )
 SCRIPTS = re.compile(
-    r"(?:enable|turn on|activate|allow|needs?|requires?|required|without|disabled|switched off|turned off|activer|activez|désactivé|activar|active|habilit\w+|desactivado|aktivieren|deaktiviert|benötigt|erforder\w+|有効|無効|必要|启用|开启|禁用|需要)[^.!?。！？]{0,60}(?:javascript|java script|scripts?\b)"
+    r"(?:enable|turn on|activate|allow|needs?|requiere|necesita|nécessite|exige|verlangt|requires?|required|without|disabled|switched off|turned off|activer|activez|désactivé|activar|active|habilit\w+|desactivado|aktivieren|deaktiviert|benötigt|erforder\w+|有効|無効|必要|启用|开启|禁用|需要)[^.!?。！？]{0,60}(?:javascript|java script|scripts?\b)"
     r"|(?:javascript|java script|scripts?\b)[^.!?。！？]{0,60}(?:enable|turn(?:ed)? o|activ|disabled|required|needed|switched off|blocked|off\b|désactiv|desactiv|habilit|deaktiv|aktiv|benötigt|erforder|necesari|nécessaire|有効|無効|必要|启用|开启|禁用|需要)"
 )
 FILLER = re.compile(
