@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, leaks, residue, tokens
+from . import copies, history, leaks, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(t("rpg_dataset"), t("literature_dataset")).select("rec_id").distinct()
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of records of different batches that bring the same output, lightly changed or not."""
+    t = lambda name: _table(spark, sf_dir, name)
+    return history.repeats(t("rpg_dataset"), t("literature_dataset"))
+
+
 def p4_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens by table, source, language and domain."""
     t = lambda name: _table(spark, sf_dir, name)
@@ -56,7 +62,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p4_budget, p4_records, p7_found, p7_classes, p8_ids, p9_found)}
+    return {f.__name__: f for f in (p1_found, p3_found, p4_budget, p4_records, p7_found, p7_classes, p8_ids, p9_found)}
 
 
 def oracle_sql() -> dict[str, str]:
