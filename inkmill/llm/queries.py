@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, history, leaks, residue, tokens
+from . import copies, history, leaks, repetition, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,8 +61,19 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked(found).select("doc_id", "item_id").distinct()
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which more than 45 % has been given before."""
+    found = repetition.repetition(_table(spark, sf_dir, "documents"))
+    return found.where(found["share"] > repetition.LIMIT).select("doc_id").distinct()
+
+
+def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path length and repeated share of each document."""
+    return repetition.repetition(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p3_found, p4_budget, p4_records, p7_found, p7_classes, p8_ids, p9_found)}
+    return {f.__name__: f for f in (p1_found, p3_found, p4_budget, p4_records, p7_found, p7_classes, p8_ids, p9_found, p10_found, p10_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
