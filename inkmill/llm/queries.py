@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, history, leaks, repetition, residue, tokens
+from . import copies, history, leaks, pages, repetition, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_records(t("rpg_dataset"), t("lora_translator"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of pages that aren't part of the body."""
+    return pages.furniture(_table(spark, sf_dir, "rpg_dataset")).distinct()
+
+
 def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each record with the smallest id among its copies and their number."""
     t = lambda name: _table(spark, sf_dir, name)
@@ -73,7 +78,7 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p3_found, p4_budget, p4_records, p7_found, p7_classes, p8_ids, p9_found, p10_found, p10_shares)}
+    return {f.__name__: f for f in (p1_found, p3_found, p4_budget, p4_records, p6_found, p7_found, p7_classes, p8_ids, p9_found, p10_found, p10_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
