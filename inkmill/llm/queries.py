@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, history, leaks, pages, repetition, residue, tokens
+from . import answers, copies, history, leaks, pages, repetition, residue, tokens
+from .columns import take
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,13 @@ def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_records(t("rpg_dataset"), t("lora_translator"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs whose answer doesn't answer, with the kind of defect."""
+    rpg = take(_table(spark, sf_dir, "rpg_dataset"), id="rec_id", question="instruction", answer="output")
+    pairs = rpg.unionByName(answers.last_exchange(_table(spark, sf_dir, "lora_storyteller_dpo")))
+    return answers.defects(pairs).withColumnRenamed("id", "rec_id").distinct()
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of pages that aren't part of the body."""
     return pages.furniture(_table(spark, sf_dir, "rpg_dataset")).distinct()
@@ -78,7 +86,7 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p3_found, p4_budget, p4_records, p6_found, p7_found, p7_classes, p8_ids, p9_found, p10_found, p10_shares)}
+    return {f.__name__: f for f in (p1_found, p3_found, p4_budget, p4_records, p5_found, p6_found, p7_found, p7_classes, p8_ids, p9_found, p10_found, p10_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
