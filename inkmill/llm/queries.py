@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import answers, copies, history, leaks, pages, repetition, residue, tokens
+from . import answers, caps, copies, history, leaks, pages, repetition, residue, tokens
 from .columns import take
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(t("rpg_dataset"), t("literature_dataset")).select("rec_id").distinct()
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that have to go so that no contributor keeps more than 2 % of all rows."""
+    return caps.over_cap(_table(spark, sf_dir, "rpg_dataset")).distinct()
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of records of different batches that bring the same output, lightly changed or not."""
     t = lambda name: _table(spark, sf_dir, name)
@@ -86,7 +91,7 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p3_found, p4_budget, p4_records, p5_found, p6_found, p7_found, p7_classes, p8_ids, p9_found, p10_found, p10_shares)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_budget, p4_records, p5_found, p6_found, p7_found, p7_classes, p8_ids, p9_found, p10_found, p10_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
