@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
 from .columns import source_key, take
 from .text import fold
 
@@ -168,7 +169,8 @@ def residue(*tables: DataFrame, key: str = "rec_id", text: str = "output", sourc
         [take(t, **{key: key, "source": source_key(F.col(source)), "text": text}) for t in tables],
     ).where(F.col(key).isNotNull() & F.col("text").isNotNull())
     seen = rows.withColumn("x", _looked_at("text")).select(key, "source", "x.own", "x.mask", F.when(F.col("x.mask").isNotNull(), F.col("text")).alias("sample")).where("own is not null or mask is not null")
-    seen = seen.withColumn("group", F.xxhash64("mask"))
+    # read three times below: without the file every reading would look at all texts again
+    seen = stored(seen.withColumn("group", F.xxhash64("mask")), "residue")
     messages = seen.where("mask is not null")
     groups = (
         messages.groupBy("group", "source").agg(F.min("sample").alias("sample"))
