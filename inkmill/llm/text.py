@@ -24,11 +24,14 @@ def fold(text: str) -> str:
     return unicodedata.normalize("NFKC", text).casefold() if not text.isascii() else text.lower()
 
 
-def is_cjk(text: str) -> bool:
-    """True where more than a third of the letters and digits are Han, kana or Hangul."""
+def is_cjk(text: str, letters: int | None = None) -> bool:
+    """True where more than a third of the letters and digits (counted here, if not given) are Han, kana or Hangul."""
     if text.isascii():
         return False
-    return 3 * len(CJK.findall(text)) > len(text) - len(re.findall(r"[\W_]", text))
+    found = len(CJK.findall(text))
+    if not found:
+        return False
+    return 3 * found > (len(NOT_ALNUM.sub("", text)) if letters is None else letters)
 
 
 def words(text: str) -> list[str]:
