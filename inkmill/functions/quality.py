@@ -6,24 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .fixed import BAD_SAMPLE, BOILERPLATE, BOILERPLATE_LEAST, WS
-from .text import lines, matches, strip, word_count, words
+from .text import matches, word_count
 
 LETTER = r"\p{L}"
 LATIN = "[A-Za-z]"
 KANA = "[\\u3040-\\u30ff]"
 HAN = "[\\u4e00-\\u9fff]"
+ENDS = "\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029"
+BLANKS = "\\t\\x1f \\xa0\\u1680\\u2000-\\u200a\\u202f\\u205f\\u3000"
 
 
 def single_word_lines(x: Column) -> Column:
-    """The share of lines of one word among the lines that aren't blank; 0 without lines."""
-    filled = F.filter(lines(x), lambda s: strip(s) != "")
-    single = F.filter(filled, lambda s: F.size(words(s)) == 1)
-    return F.when(F.size(filled) > 0, F.size(single) / F.size(filled)).otherwise(F.lit(0.0))
+    """The share of lines of one word among the lines that aren't blank; 0 without lines. Counted without splitting."""
+    filled = F.regexp_count(x, F.lit(f"[^{ENDS}]*[^{WS[1:-1]}][^{ENDS}]*"))
+    single = F.regexp_count(x, F.lit(f"(?<![^{ENDS}])[{BLANKS}]*[^{WS[1:-1]}]+[{BLANKS}]*(?![^{ENDS}])"))
+    return F.when(filled > 0, single / filled).otherwise(F.lit(0.0))
 
 
 def mean_word_length(x: Column) -> Column:
     n = word_count(x)
-    return F.when(n > 0, F.length(F.regexp_replace(x, WS, "")) / n).otherwise(F.lit(0.0))
+    return F.when(n > 0, (F.length(x) - F.regexp_count(x, F.lit(WS))) / n).otherwise(F.lit(0.0))
 
 
 def kana_share(x: Column) -> Column:

@@ -11,17 +11,11 @@ from ..functions.text import md5_of
 def first_of_each(rows: DataFrame, key: Column, *order: str) -> DataFrame:
     """Of rows with one ``key`` the first by ``order``; all columns stay. Rows with a null key are all kept.
 
-    A minimum per key is found with partial sums and met again by its order columns (which must tell rows apart), so that a
-    key with very many rows is neither sorted nor held by one task, and the rows themselves aren't shuffled by key.
+    Each task keeps one row per key before the shuffle, so that a key with very many rows stays small and the rows are made once.
     """
-    keyed = rows.withColumn("_key", key)
-    least = keyed.where("_key is not null").groupBy("_key").agg(F.min(F.struct(*order)).alias("_first"))
-    first = least.select(*[F.col(f"_first.{c}").alias(f"_{c}") for c in order])
-    on = [keyed[c].eqNullSafe(first[f"_{c}"]) for c in order]
-    met = on[0]
-    for c in on[1:]:
-        met = met & c
-    return keyed.where("_key is not null").join(first, met, "left_semi").unionByName(keyed.where("_key is null")).drop("_key")
+    alone = F.concat(F.lit("null "), F.to_json(F.struct(*order)))
+    found = rows.groupBy(F.coalesce(key, alone).alias("_key")).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("_row"))
+    return found.select("_row.*")
 
 
 def exact_first(rows: DataFrame, text: str, *order: str, prefix: str = "") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, quality
@@ -28,40 +28,41 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-T = F.col("text")
+def _text() -> Column:
+    return F.col("text")
 
 
 @query(f"WITH {sql.RAW} SELECT doc_id, category, source_id, length(text) AS chars FROM raw WHERE {sql.strip('text')} <> ''")
 def raw_scan_nonblank(spark, d):
-    return raw_pages(spark, d).where(tx.strip(T) != "").select("doc_id", "category", "source_id", F.length("text").cast("long").alias("chars"))
+    return raw_pages(spark, d).where(tx.strip(_text()) != "").select("doc_id", "category", "source_id", F.length("text").cast("long").alias("chars"))
 
 
 @query(f"SELECT doc_id, {sql.wc('text')}::BIGINT AS words, length(text)::BIGINT AS chars, md5({sql.strip('text')}) AS md5, floor(length(text) / 3.5)::BIGINT AS tokens FROM documents")
 def word_char_counts(spark, d):
     return table(spark, d, "documents").select(
-        "doc_id", tx.word_count(T).alias("words"), F.length("text").cast("long").alias("chars"), tx.md5_of(T).alias("md5"), tx.token_estimate(T).alias("tokens")
+        "doc_id", tx.word_count(_text()).alias("words"), F.length("text").cast("long").alias("chars"), tx.md5_of(_text()).alias("md5"), tx.token_estimate(_text()).alias("tokens")
     )
 
 
 @query(f"SELECT doc_id, {sql.even('text')} AS text FROM documents")
 def normalize_whitespace(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.even(T).alias("text"))
+    return table(spark, d, "documents").select("doc_id", tx.even(_text()).alias("text"))
 
 
 @query(f"SELECT doc_id, s.i - 1 AS pos, s.t AS sentence FROM (SELECT doc_id, unnest(list_transform({sql.sentences('text')}, lambda x, j: {{'i': j, 't': x}})) AS s FROM documents WHERE text IS NOT NULL)")
 def sentence_split(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(tx.sentences(T)).alias("p", "sentence")).select("doc_id", F.col("p").cast("long").alias("pos"), "sentence")
+    return table(spark, d, "documents").where("text is not null").select("doc_id", F.posexplode(tx.sentences(_text())).alias("p", "sentence")).select("doc_id", F.col("p").cast("long").alias("pos"), "sentence")
 
 
 @query(f"SELECT doc_id, len({sql.lines('text')})::BIGINT AS lines, round({sql.single_word_lines('text')}, 6) AS single FROM documents WHERE text IS NOT NULL")
 def line_stats(spark, d):
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.size(tx.lines(T)).cast("long").alias("lines"), F.round(quality.single_word_lines(T), 6).alias("single"))
+    return table(spark, d, "documents").where("text is not null").select("doc_id", F.size(tx.lines(_text())).cast("long").alias("lines"), F.round(quality.single_word_lines(_text()), 6).alias("single"))
 
 
 @query(f"SELECT doc_id, l AS language, {sql.mismatch('text', 'l')} AS mismatch FROM (SELECT doc_id, text, unnest(['en', 'ja', 'fr']) AS l FROM documents WHERE text IS NOT NULL)")
 def lang_mismatch(spark, d):
     docs = table(spark, d, "documents").where("text is not null").select("doc_id", "text", F.explode(F.array(*[F.lit(x) for x in ("en", "ja", "fr")])).alias("language"))
-    return docs.select("doc_id", "language", quality.mismatch(T, F.col("language")).alias("mismatch"))
+    return docs.select("doc_id", "language", quality.mismatch(_text(), F.col("language")).alias("mismatch"))
 
 
 @query(f"SELECT rec_id, {sql.matches('output', fixed.BOILERPLATE)}::INT AS score FROM rpg_dataset WHERE output IS NOT NULL")
@@ -76,12 +77,12 @@ def bad_samples(spark, d):
 
 @query(f"WITH {sql.RAW} SELECT doc_id, {sql.reject_reason('text', 'language')} AS reason FROM raw WHERE text IS NOT NULL")
 def quality_gate_reasons(spark, d):
-    return raw_pages(spark, d).where("text is not null").select("doc_id", quality.reject_reason(T, F.col("language")).alias("reason"))
+    return raw_pages(spark, d).where("text is not null").select("doc_id", quality.reject_reason(_text(), F.col("language")).alias("reason"))
 
 
 @query(f"WITH {sql.packed(350)} SELECT doc_id, pos::BIGINT AS pos, chunk, words::BIGINT AS words FROM packed")
 def chunk_pack_350(spark, d):
-    docs = raw_pages(spark, d).select("doc_id", F.posexplode(chunk.packed(T, 350)).alias("pos", "c"))
+    docs = raw_pages(spark, d).select("doc_id", F.posexplode(chunk.packed(_text(), 350)).alias("pos", "c"))
     return docs.select("doc_id", F.col("pos").cast("long").alias("pos"), "c.chunk", "c.words")
 
 
@@ -93,13 +94,13 @@ chars AS (SELECT doc_id, list_filter(list_transform(list_append(f.done, f.h), la
 
 @query(f"WITH {_CHARS} SELECT doc_id, unnest(range(len(cs)))::BIGINT AS pos, unnest(cs) AS chunk FROM chars")
 def chunk_chars_400(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.posexplode(chunk.packed_chars(T)).alias("pos", "chunk"))
+    docs = table(spark, d, "documents").select("doc_id", F.posexplode(chunk.packed_chars(_text())).alias("pos", "chunk"))
     return docs.select("doc_id", F.col("pos").cast("long").alias("pos"), "chunk")
 
 
 @query(f"WITH {_CHARS} SELECT concat_ws('_', 'ref', d.source, substr(md5(d.url), 1, 8), c.pos) AS ref_id, c.chunk FROM (SELECT doc_id, unnest(range(len(cs)))::BIGINT AS pos, unnest(cs) AS chunk FROM chars) c JOIN documents d USING (doc_id)")
 def rag_ref_ids(spark, d):
-    docs = table(spark, d, "documents").select("source", "url", F.posexplode(chunk.packed_chars(T)).alias("pos", "chunk"))
+    docs = table(spark, d, "documents").select("source", "url", F.posexplode(chunk.packed_chars(_text())).alias("pos", "chunk"))
     return docs.select(state.chunk_refs(docs, "source", "url", "pos").alias("ref_id"), "chunk")
 
 
@@ -165,7 +166,7 @@ def build_stats(spark, d):
 @query(f"SELECT doc_id, {sql.topic('text')} AS topic, {sql.prompt('text', 'title')} AS prompt FROM documents WHERE text IS NOT NULL AND title IS NOT NULL")
 def topic_and_prompt(spark, d):
     docs = table(spark, d, "documents").where("text is not null and title is not null")
-    return docs.select("doc_id", shape.topic(T).alias("topic"), shape.derived_prompt(T, F.col("title")).alias("prompt"))
+    return docs.select("doc_id", shape.topic(_text()).alias("topic"), shape.derived_prompt(_text(), F.col("title")).alias("prompt"))
 
 
 @query(
@@ -209,7 +210,7 @@ def sentiment_label(spark, d):
 @query()
 def ner_entities(spark, d):
     """Names and organisations of English documents; overlapping, case-blind matches are held against a model in tests."""
-    names, orgs = shape.entities(T)
+    names, orgs = shape.entities(_text())
     return table(spark, d, "documents").where("lang = 'en' and text is not null").select("doc_id", names.alias("names"), orgs.alias("organisations"))
 
 
@@ -250,8 +251,8 @@ SELECT DISTINCT regexp_replace(n, ' +', ' ') AS name FROM m WHERE NOT list_has_a
 )
 def lore_names(spark, d):
     """Names of two words in English texts of ASCII letters (word ends beside other letters differ between regex engines)."""
-    docs = table(spark, d, "documents").where("lang = 'en'").where(T.rlike("^[\\x00-\\x7f]*\\z"))
-    found = docs.select(F.explode(F.regexp_extract_all(T, F.lit(r"\b[A-Z][a-z]{2,15}[ ]+[A-Z][a-z]{2,15}\b"), F.lit(0))).alias("n"))
+    docs = table(spark, d, "documents").where("lang = 'en'").where(_text().rlike("^[\\x00-\\x7f]*\\z"))
+    found = docs.select(F.explode(F.regexp_extract_all(_text(), F.lit(r"\b[A-Z][a-z]{2,15}[ ]+[A-Z][a-z]{2,15}\b"), F.lit(0))).alias("n"))
     name = F.regexp_replace("n", " +", " ")
     no = F.array(*[F.lit(w) for w in dict.fromkeys(fixed.NOT_NAMES + fixed.NUMBER_WORDS)])
     return found.where(~F.arrays_overlap(F.split(name, " "), no)).select(name.alias("name")).distinct()

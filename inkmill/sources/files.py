@@ -9,9 +9,16 @@ from pyspark.sql import types as T
 from ..functions.text import strip, word_count
 from ..operators.state import file_name
 
-SIDECAR = T.StructType.fromDDL(
-    "url string, source_id string, category string, extractor string, language string, display_name string, tags array<string>, "
-    "http_status bigint, word_count bigint, char_count bigint, scraped_at string, output_file string, checksum_md5 string"
+SIDECAR = T.StructType(
+    [
+        T.StructField(name, kind)
+        for kind, names in (
+            (T.StringType(), "url source_id category extractor language display_name scraped_at output_file checksum_md5"),
+            (T.LongType(), "http_status word_count char_count"),
+            (T.ArrayType(T.StringType()), "tags"),
+        )
+        for name in names.split()
+    ]
 )
 
 
