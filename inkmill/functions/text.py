@@ -25,8 +25,11 @@ def words(x: Column) -> Column:
 
 
 def word_count(x: Column) -> Column:
-    """The number of ``words``, counted without making them; 0 for null."""
-    return F.regexp_count(F.coalesce(x, F.lit("")), F.lit(f"[^{WS[1:-1]}]+")).cast("long")
+    """The number of ``words``, counted without making them; 0 for null. ASCII texts need to know two ranges of blanks only."""
+    x = F.coalesce(x, F.lit(""))
+    ascii_only = F.octet_length(x) == F.length(x)
+    count = F.when(ascii_only, F.regexp_count(x, F.lit("[^\\t-\\r\\x1c- ]+"))).otherwise(F.regexp_count(x, F.lit(f"[^{WS[1:-1]}]+")))
+    return count.cast("long")
 
 
 def lines(x: Column) -> Column:
@@ -71,11 +74,19 @@ def lookup(x: Column, table: dict[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in table.items() for v in kv]), x), x)
 
 
+def literal_of(pattern: str) -> str:
+    """The longest run of plain letters and blanks that every match of a pattern holds."""
+    flat = re.sub(r"\([^()]*\)", "\0", pattern)
+    runs = re.findall(r"(?:\\b)?([a-z<:][a-z :]*)([?*{]?)", re.sub(r"\\[^b]", "\0", flat))
+    return max((r[:-1] if q else r for r, q in runs), key=len)
+
+
 def matches(x: Column, patterns: list[str]) -> Column:
-    """How many of the patterns a text holds, whatever the case."""
+    """How many of the patterns a text holds, whatever the case; a regex runs only where its literal part occurs."""
+    low = F.lower(x)
     total = F.lit(0)
     for p in patterns:
-        total = total + x.rlike(f"(?iUd){p}").cast("int")
+        total = total + (F.contains(low, F.lit(literal_of(p))) & x.rlike(f"(?iUd){p}")).cast("int")
     return total
 
 

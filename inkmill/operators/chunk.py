@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import WS
-from ..functions.quality import reject_reason
+from ..functions.quality import gate
 
 _WS = WS  # the class reads the same in both engines
 _STRIP = re.compile(f"^{_WS}+|{_WS}+\\Z")
@@ -86,38 +86,40 @@ def packed_chars(text: Column, size: int = 400) -> Column:
     return run(text)
 
 
-def near_unique(chunks: Column, threshold: float = 0.85) -> Column:
+def unlike(chunks: list[tuple[str, int]], threshold: float = 0.85) -> list[tuple[str, int]]:
     """The chunks of one file without those whose word sets reach a Jaccard similarity of ``threshold`` with a kept one."""
-
-    def one(rows) -> list:
-        kept, bags = [], []
-        for row in rows:
-            bag = set(row["chunk"].lower().split())
-            if bag and any(b and len(bag & b) / len(bag | b) >= threshold for b in bags):
-                continue
-            kept.append((row["chunk"], row["words"]))
+    kept, bags = [], []
+    for text, n in chunks:
+        bag = set(text.lower().split())
+        most = len(bag)
+        for b in bags:
+            # the similarity is at most the ratio of the sizes
+            if b and most and min(most, len(b)) >= threshold * max(most, len(b)) and len(bag & b) / len(bag | b) >= threshold:
+                break
+        else:
+            kept.append((text, n))
             bags.append(bag)
-        return kept
-
-    @F.pandas_udf(CHUNKS)
-    def run(lists: pd.Series) -> pd.Series:
-        return pd.Series([one(x) if x is not None else [] for x in lists], dtype=object)
-
-    return run(chunks)
+    return kept
 
 
 def sound_chunks(pages: DataFrame, max_words: int, min_words: int = 80, threshold: float = 0.85) -> DataFrame:
     """``pages`` with one row per chunk that passes the quality gate and is no near copy within its page: pos, chunk, words.
 
-    ``pages`` has ``text`` and ``language``; all its other columns stay. Packing, gate and near copies work on arrays within the
-    row, so a page is never shuffled; null, blank and short texts give no row.
+    ``pages`` has ``text`` and ``language``; all its other columns stay. Packing, gate and near copies are one pass over Arrow
+    batches, so a page is never shuffled; null, blank and short texts give no row.
     """
-    gated = F.filter("packed", lambda c: reject_reason(c["chunk"], F.col("language"), min_words).isNull())
+
+    @F.pandas_udf(CHUNKS)
+    def run(texts: pd.Series, languages: pd.Series) -> pd.Series:
+        out = []
+        for t, language in zip(texts, languages):
+            packed_ = pack(t if isinstance(t, str) else None, max_words, min_words)
+            out.append(unlike([c for c in packed_ if gate(c[0], language, min_words) is None], threshold))
+        return pd.Series(out, dtype=object)
+
     return (
-        pages.withColumn("packed", packed(F.col("text"), max_words, min_words))
-        .withColumn("packed", gated)
-        .withColumn("packed", near_unique(F.col("packed"), threshold))
-        .select("*", F.posexplode("packed").alias("pos", "c"))
-        .select("*", "c.chunk", "c.words")
-        .drop("packed", "c", "text")
+        pages.withColumn("_sound", run("text", "language"))
+        .select("*", F.posexplode("_sound").alias("pos", "_c"))
+        .select("*", "_c.chunk", "_c.words")
+        .drop("_sound", "_c", "text")
     )

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -59,28 +61,36 @@ def sentiment(x: Column) -> Column:
     return F.when((act > pos) & (act > neg), s["action"]).when(neg > pos, s["negative"]).when(pos > neg, s["positive"]).otherwise(s["neutral"])
 
 
-def entities(x: Column) -> tuple[Column, Column]:
-    """(names, organisations) of an English text: up to 10 and 8, in order of code points."""
-    no = F.array(*[F.lit(w) for w in dict.fromkeys(fixed.NOT_NAMES + fixed.NUMBER_WORDS)])
-    numbers = F.array(*[F.lit(w) for w in fixed.NUMBER_WORDS])
-    single = F.regexp_extract_all(x, F.lit(r"(?U)\b[A-Z][a-z]{2,}\b"), F.lit(0))
-    runs = F.array_distinct(F.regexp_extract_all(x, F.lit(rf"(?U)\b[A-Z][a-z]{{1,20}}(?:{WS}+[A-Z][a-z]{{1,20}}){{0,2}}\b"), F.lit(0)))
+_SINGLE = re.compile(r"\b[A-Z][a-z]{2,}\b")
+_RUN = re.compile(r"\b[A-Z][a-z]{1,20}(?:\s+[A-Z][a-z]{1,20}){0,2}\b")
+_CALLED = re.compile(rf"the\s+([A-Z][a-zA-Z\s]{{2,40}}?)\s*(?:\b(?:{'|'.join(fixed.ORGANISATIONS)})\b)", re.IGNORECASE)
+_BARE = re.compile(rf"\b[A-Z][a-z]{{2,20}}(?:\s+[A-Z][a-z]{{2,20}}){{0,2}}\s+(?:{'|'.join(fixed.BARE_ORGANISATIONS)})\b")
+_NO_PART, _NUMBERS = frozenset(fixed.NOT_NAMES + fixed.NUMBER_WORDS), frozenset(fixed.NUMBER_WORDS)
 
-    def sound(name: Column) -> Column:
-        parts = words(name)
-        alone = (F.length(name) >= 4) & (F.size(F.filter(single, lambda t: t == name)) >= 2)
-        return ~F.arrays_overlap(parts, no) & F.when(F.size(parts) == 1, alone).otherwise(F.forall(parts, lambda p: F.length(p) >= 3))
 
-    suffixes = "|".join(fixed.ORGANISATIONS)
-    called = F.regexp_extract_all(x, F.lit(rf"(?iU)the{WS}+([A-Z][a-zA-Z\s]{{2,40}}?){WS}*(?:\b(?:{suffixes})\b)"), F.lit(0))
-    called = F.transform(called, lambda o: F.array_join(F.transform(words(o), lambda w: F.initcap(w)), " "))
-    bare = F.regexp_extract_all(
-        x, F.lit(rf"(?U)\b[A-Z][a-z]{{2,20}}(?:{WS}+[A-Z][a-z]{{2,20}}){{0,2}}{WS}+(?:{'|'.join(fixed.BARE_ORGANISATIONS)})\b"), F.lit(0)
-    )
-    bare = F.filter(bare, lambda o: ~F.arrays_overlap(F.slice(words(o), 1, F.greatest(F.size(words(o)) - 1, F.lit(0))), numbers))
-    orgs = F.array_sort(F.array_distinct(F.concat(called, bare)))
-    names = F.array_sort(F.filter(runs, lambda c: sound(c) & ~F.exists(orgs, lambda o: F.contains(o, c))))
-    return F.slice(names, 1, 10), F.slice(orgs, 1, 8)
+def named(text: str) -> tuple[list[str], list[str]]:
+    """(names, organisations) of an English text: up to 10 and 8, in order of code points.
+
+    A name of one word has four letters and occurs twice, the words of a longer one have three; none is a word of the fixed lists,
+    and a name that is part of an organisation is left to it.
+    """
+    often = Counter(_SINGLE.findall(text))
+    orgs = {" ".join(w.capitalize() for w in m.group(0).split()) for m in _CALLED.finditer(text)}
+    orgs |= {o for o in _BARE.findall(text) if _NUMBERS.isdisjoint(o.split()[:-1])}
+    names = []
+    for name in sorted(set(_RUN.findall(text))):
+        parts = name.split()
+        whole = len(name) >= 4 and often[name] >= 2 if len(parts) == 1 else all(len(p) >= 3 for p in parts)
+        if whole and _NO_PART.isdisjoint(parts) and not any(name in o for o in orgs):
+            names.append(name)
+    return names[:10], sorted(orgs)[:8]
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in ("names", "organisations")]))
+def entities(texts: pd.Series) -> pd.DataFrame:
+    """``named`` as a column; nulls for null."""
+    found = [named(t) if isinstance(t, str) else (None, None) for t in texts]
+    return pd.DataFrame(found, columns=["names", "organisations"])
 
 
 def filled(template: list[str], number: Column, **values: Column) -> Column:
@@ -153,10 +163,9 @@ def story_pairs(chunks: DataFrame, seed: str = "42") -> DataFrame:
 def analyst(chunks: DataFrame, seed: str = "42", share: float = 0.6) -> DataFrame:
     """(doc_id, chunk_index, task, human, gpt): entities for a share of the English chunks, sentiment for the rest and for
     chunks without entities."""
-    names, orgs = entities(F.col("chunk"))
     quoted = lambda a: F.concat(F.lit("["), F.array_join(F.transform(a, lambda v: F.concat(F.lit('"'), v, F.lit('"'))), ", "), F.lit("]"))
     rows = chunks.withColumn("wanted", (roll(seed, "analyst", F.col("doc_id"), F.col("chunk_index")) < share) & (F.col("language") == "en"))
-    rows = rows.withColumn("names", F.when(F.col("wanted"), names)).withColumn("orgs", F.when(F.col("wanted"), orgs))
+    rows = rows.withColumn("e", entities(F.when(F.col("wanted"), F.col("chunk")))).select("*", F.col("e.names").alias("names"), F.col("e.organisations").alias("orgs"))
     some = F.coalesce((F.size("names") > 0) | (F.size("orgs") > 0), F.lit(False))
     answer = F.concat(F.lit('{"角色": '), quoted(F.col("names")), F.lit(', "組織": '), quoted(F.col("orgs")), F.lit("}"))
     return rows.select(
