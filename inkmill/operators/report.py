@@ -33,7 +33,7 @@ def dataset_stats(records: DataFrame, words: str, source: str, language: str) ->
 
 
 def nearest_rank(rows: DataFrame, value: str, by: list[str], percents: tuple[int, ...] = (25, 50, 75)) -> DataFrame:
-    """Per group the value at place min(floor(n p / 100), n - 1) of the sorted values, as ``p25`` and so on.
+    """Per group the value at place min(floor(n p / 100), n - 1) of the sorted values, as ``p25`` and so on; ``least`` and ``most``.
 
     Values are counted first, so only distinct values and their numbers are ordered, never the rows of a group.
     """
@@ -45,7 +45,7 @@ def nearest_rank(rows: DataFrame, value: str, by: list[str], percents: tuple[int
     for p in percents:
         at = F.least(F.floor(F.col("_all") * p / 100), F.col("_all") - 1)
         out.append(F.max(F.when((F.col("_upto") > at) & (F.col("_upto") - F.col("_n") <= at), F.col(value))).alias(f"p{p}"))
-    return placed.groupBy(*by).agg(*out) if by else placed.agg(*out)
+    return placed.groupBy(*by).agg(*out, F.min(value).alias("least"), F.max(value).alias("most"))
 
 
 def file_metrics(records: DataFrame) -> DataFrame:
@@ -66,12 +66,11 @@ def file_metrics(records: DataFrame) -> DataFrame:
     dups = texts.groupBy("file").agg((F.sum("n") - F.count("*")).alias("exact_dups"))
     counted = r.select("file", word_count(F.col("text")).alias("w"))
     ranks = nearest_rank(counted, "w", ["file"], (25, 50, 75))
-    ends = counted.groupBy("file").agg(F.min("w").alias("word_count_min"), F.max("w").alias("word_count_max"))
-    out = base.join(dups, "file", "left").join(ranks, "file", "left").join(ends, "file", "left")
+    out = base.join(dups, "file", "left").join(ranks, "file", "left")
     return out.select(
         "file", "format", "total_lines", "valid_records", "format_errors", "bad_samples", F.coalesce("exact_dups", F.lit(0)).alias("exact_dups"),
-        "needs_generation", "word_count_min", F.col("p25").alias("word_count_p25"), F.col("p50").alias("word_count_median"),
-        F.col("p75").alias("word_count_p75"), "word_count_max",
+        "needs_generation", F.col("least").alias("word_count_min"), F.col("p25").alias("word_count_p25"), F.col("p50").alias("word_count_median"),
+        F.col("p75").alias("word_count_p75"), F.col("most").alias("word_count_max"),
     )
 
 

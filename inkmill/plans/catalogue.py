@@ -287,7 +287,7 @@ SELECT s[least(floor(len(s) * 50 / 100)::BIGINT, len(s) - 1) + 1] AS p50, s[leas
 )
 def token_percentiles(spark, d):
     t = table(spark, d, "lora_translator").where("conversations is not null").select(tx.token_estimate(shape.record_text("conversations")).alias("tokens"))
-    return report.nearest_rank(t, "tokens", [], (50, 95)).crossJoin(F.broadcast(t.agg(F.max("tokens").alias("most"))))
+    return report.nearest_rank(t, "tokens", [], (50, 95)).select("p50", "p95", "most")
 
 
 _FIRST = lambda who: f"coalesce(list_filter(conversations, lambda t: t[\'from\'] = '{who}')[1].value, '')"

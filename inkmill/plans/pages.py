@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import LITERATURE_CATEGORY
 from ..operators.shape import unique_chunks
+from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their source's name and tags; the language defaults to English."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     c = table(spark, sf_dir, "crawl_source").select(F.col("source_id").alias("sid"), "display_name", "tags")
     return d.join(c, d["source"] == c["sid"], "left").select(
         "doc_id", "text", "url", F.col("source").alias("source_id"), "category", F.coalesce("lang", F.lit("en")).alias("language"), "display_name", "tags"
@@ -41,7 +42,7 @@ def health_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(values, " ")
 
     def rows(name, fmt, text, source, language, pending, valid):
-        return table(spark, sf_dir, name).select(
+        return spread(table(spark, sf_dir, name)).select(
             F.lit(f"{name}.jsonl").alias("file"), F.lit(fmt).alias("format"), F.coalesce(text, F.lit("")).alias("text"),
             source.alias("source"), F.coalesce(language, F.lit("en" if fmt == "alpaca" else "unknown")).alias("language"), pending.alias("pending"), valid.alias("valid"),
         )

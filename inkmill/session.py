@@ -46,3 +46,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it lies in fewer splits than half of them, as one small file does; else as it is.
+
+    For tables that Python or regexes work on for long. Data of many files is never moved; projections and filters are pushed
+    below the exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() * 2 <= cores else df
