@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
 from . import answers, caps, copies, history, leaks, pages, repetition, residue, tokens
 from .columns import take
 
@@ -13,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
