@@ -23,6 +23,12 @@ _CHAT = re.compile(
     r"\b(?:lol|lmao|omg|wtf|idk|tbh|srsly|thx|pls|plz|gr8|m8|u guys|r gr8|bump|necro|first!!|nvm|\+1|pm me|same here|haha|edit:|link dead|is op|nerf|who cares|mod pls|yeah ok|soooo+|anyone know)(?!\w)",
     re.I,
 )
+# How a question asks for a short answer.
+_TERSE = re.compile(
+    r"\b(?:in (?:one|a single) (?:line|word|sentence)|one[- ]line|in a word|briefly|en une (?:ligne|phrase)|en un mot|brièvement|in einer zeile|in einem (?:wort|satz)|kurz:|en una (?:línea|frase)|en una palabra|brevemente)\b"
+    r"|一行で|一言で|一文で|手短に|[用以]?一(?:行|句话|个词)(?:话)?[说回:：答]?|简短",
+    re.I,
+)
 #: From this score on an output is sound.
 SOUND = 0.5
 
@@ -37,7 +43,8 @@ def score(question: str | None, answer: str | None) -> float:
         return 0.0
     text = answer.strip()
     letters = len(_LETTER.findall(text))
-    if letters < 20:
+    terse = isinstance(question, str) and len(text) <= 200 and _TERSE.search(question) is not None
+    if letters < 20 and not (terse and letters > 1):
         return 0.05
     cjk = is_cjk(text)
     words = _WORD.findall(text)
@@ -67,10 +74,10 @@ def score(question: str | None, answer: str | None) -> float:
             size = letters / 2.2
         else:
             function = sum(w.lower() in _FUNCTION for w in words)
-            if len(words) >= 8 and function < 0.2 * len(words):
+            if len(words) >= 8 and not terse and function < 0.2 * len(words):
                 flaw += 0.8
             size = len(words)
-        if size < 22:
+        if size < 22 and not terse:
             flaw += 0.6
     fresh = len(set(words)) / max(1, len(words)) if not cjk else len(set(CJK.findall(text))) / max(1, letters)
     return max(0.0, 1.0 - flaw) * (0.9 + 0.05 * min(1.0, len(text) / 1500) + 0.05 * fresh)

@@ -190,6 +190,7 @@ MORE = "Twelve barges lay at the quay of {0} that winter, because the toll had d
 def test_quality():
     sound = GOOD.format("Orle", "herd") + MORE.format("Tave", "abbot")
     assert quality.score(Q, sound) > 0.9
+    assert quality.score("In one line: who rules Orle?", "Mira Stone.") > 0.9 > quality.SOUND > quality.score(Q, "Mira Stone.")
     for bad in ("lol yeah ok pls nerf", "A=1 B=2 C=3 D=4 E=5 F=6 G=7", sound.upper() + "!!!!!", PROSE * 6, "stone mill lantern river bridge gate tower warden keeper miller abbot herald", None, "", Q, "Orla, Tave, Mira, Roland, Ada, Bo, Cy, Di, Ed"):
         assert quality.score(Q, bad) < quality.SOUND
 
