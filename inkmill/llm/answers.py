@@ -40,15 +40,15 @@ _LEAD = re.compile(
 # Frequent short words by language.
 STOPWORDS = {
     "en": "the and of to in is was that with for from by are as at who this not or but which near every what how does do give tell write into when she he it its they".split(),
-    "fr": "le la les des et un une est dans que qui pour avec sur par au aux du ne pas se ce cette il elle était avait sous si bien mais ses son sa quand".split(),
-    "de": "der die das und den dem des ein eine einer ist nicht mit von zu im auf für als auch sich war wie wer nach bei aus dass wenn oder unter noch".split(),
-    "es": "el la los las y un una que es en de con por para no se su del al lo como más pero sus era desde bajo cuando quien hasta había".split(),
+    "fr": "le la les des et un une est dans que qui pour avec sur par au aux du ne pas se ce cette il elle était avait sous si bien mais ses son sa quand où pourquoi comment veut raconte décris explique continue quelle quel entre".split(),
+    "de": "der die das und den dem des ein eine einer ist nicht mit von zu im auf für als auch sich war wie wer nach bei aus dass wenn oder unter noch vom zum zwischen warum erzähle beschreibe erkläre setze fort welche leuten".split(),
+    "es": "el la los las y un una que es en de con por para no se su del al lo como más pero sus era desde bajo cuando quien hasta había entre cuenta cuéntame describe explica continúa qué quién dónde cómo gente quiere dejó".split(),
     "it": "il lo gli e di che è un una non per con del della nel sono era come più ma alla dei".split(),
     "pt": "o os e de que é um uma não para com do da em no na dos das era como mais mas pelo seu sua".split(),
     "nl": "de het een en van is niet met op voor dat te in zijn was aan ook als bij door om".split(),
 }
 _STOP = {w: tuple(code for code, ws in STOPWORDS.items() if w in ws) for ws in STOPWORDS.values() for w in ws if len(w) > 1}
-_NOISE = re.compile("[#¤§^~|\ufffd0-9]")
+_NOISE = re.compile("[#¤§^~|\ufffd]|(?<=[^\\W\\d_])[01](?=[^\\W\\d_])")
 # Names of languages in the languages of the questions.
 NAMES = {
     "en": "english|anglais|inglés|englisch|英語|英语|英文",
@@ -172,9 +172,11 @@ def defect(question: str | None, answer: str | None) -> str | None:
     if isinstance(question, str) and question.strip():
         if is_copy(question, answer):
             return "copy"
-        if len(answer) >= 40 and 25 * len(_NOISE.findall(answer)) < len(answer):
+        if len(answer) >= 40 and 40 * len(_NOISE.findall(answer)) < len(answer):
             of = language_of(answer, 5)
-            if of and (asked := asked_language(question)) and asked != of:
+            asked = asked_language(question)
+            # a question whose language its few words leave open still shows its script
+            if of and (asked != of if asked else of in ("ja", "zh", "ko") and not CJK.search(question)):
                 return "language"
     found = ending(answer)
     if found and furniture_lines(answer):
