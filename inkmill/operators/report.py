@@ -176,3 +176,16 @@ def dataset_type(stem: Column) -> Column:
 def is_pending(chosen: str) -> Column:
     """Whether a gpt turn of the chosen answer still holds the placeholder."""
     return F.coalesce(F.exists(chosen, lambda t: (t["from"] == "gpt") & F.contains(F.coalesce(t["value"], F.lit("")), F.lit(PENDING))), F.lit(False))
+
+
+def markdown(statuses: DataFrame, changes: DataFrame | None = None) -> str:
+    """A report of all files (one row each, so a small result) and of what changed, as Markdown."""
+    columns = ["file", "status", "valid_records", "bad_samples", "exact_dups", "word_count_median", "needs_generation"]
+    out = ["# Dataset health", "", "| " + " | ".join(columns) + " |", "|" + "-|" * len(columns)]
+    out += ["| " + " | ".join("" if r[c] is None else str(r[c]) for c in columns) + " |" for r in statuses.select(*columns).orderBy("file").collect()]
+    if advice := suggestions(statuses).orderBy("file", "suggestion").collect():
+        out += ["", "## Suggestions", ""] + [f"- `{r['file']}`: {r['suggestion']}" for r in advice]
+    if changes is not None:
+        moved = changes.where("trend in ('↓', '↑')").orderBy(changes.columns[0], "value").collect()
+        out += ["", "## Changes", ""] + [f"- `{r[0]}` {r['value']}: {r['trend']} {abs(r['change']):g}" for r in moved]
+    return "\n".join(out) + "\n"

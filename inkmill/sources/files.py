@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip, word_count
+from ..operators.split import train_val
 from ..operators.state import file_name
 
 SIDECAR = T.StructType(
@@ -71,3 +72,17 @@ def rewritten(spark: SparkSession, path: str, change) -> None:
     fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.delete(old, True)
     fs.rename(new, old)
+
+
+def export_split(records: DataFrame, key: str, folder: str, ratio: float = 0.9, seed: str = "42") -> None:
+    """Training and validation sets as JSON lines in ``folder/train`` and ``folder/val``."""
+    parts = train_val(records, key, ratio, seed)
+    for part in ("train", "val"):
+        parts.where(F.col("part") == part).drop("part").write.mode("overwrite").json(f"{folder}/{part}")
+
+
+def save_snapshot(metrics: DataFrame, folder: str, timestamp: str) -> None:
+    """Replaces ``folder/latest`` and appends a line of totals to ``folder/history``."""
+    totals = metrics.agg(F.sum("valid_records").alias("total_records"), F.sum("bad_samples").alias("total_bad"), F.array_sort(F.collect_list("file")).alias("files"))
+    metrics.write.mode("overwrite").parquet(f"{folder}/latest")
+    totals.select(F.lit(timestamp).alias("timestamp"), "*").coalesce(1).write.mode("append").json(f"{folder}/history")
