@@ -18,8 +18,8 @@ def train_val(rows: DataFrame, key: str, ratio: float = 0.9, seed: str = "42") -
     h = hashed(rows, key, seed).withColumn("prefix", F.substring("shuffle_key", 1, 4))
     n = h.groupBy("prefix").agg(F.count("*").alias("n"))
     upto = n.withColumn("before", F.sum("n").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
-    total = n.agg(F.sum("n").alias("total"))
-    cut = upto.crossJoin(F.broadcast(total)).withColumn("cut", F.greatest(F.lit(1), F.floor(F.col("total") * ratio)))
+    total = F.sum("n").over(Window.partitionBy())  # of at most 65,536 counts
+    cut = upto.withColumn("cut", F.greatest(F.lit(1), F.floor(total * ratio)))
     j = h.join(cut.select("prefix", "before", "n", "cut"), "prefix")
     whole = j.where("before + n <= cut or before >= cut").withColumn("part", F.when(F.col("before") + F.col("n") <= F.col("cut"), "train").otherwise("val"))
     place = F.row_number().over(Window.partitionBy("prefix").orderBy("shuffle_key", key))
