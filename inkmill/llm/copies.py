@@ -129,7 +129,7 @@ def classes(rows: DataFrame, key: str = "rec_id", data: str = "bytes", bucket_ro
         yield pd.DataFrame(out, columns=["id", "least", "n", "hot", "first"])
 
     counted = spread.mapInPandas(count, "id long, least long, n long, hot binary, first boolean")
-    if levels and levels[-1][1].where("whole").limit(1).count():
+    if any(heavy.where("whole").limit(1).count() for _, heavy in levels):
         counted = stored(counted, "counted")
         total = counted.where("hot is not null and first").groupBy(F.col("hot").alias("h")).agg(F.min("least").alias("l"), F.sum("n").alias("t"))
         counted = counted.join(total, F.col("hot") == F.col("h"), "left").select(
