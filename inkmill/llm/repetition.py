@@ -1,4 +1,4 @@
-"""Problem 10: repetition inside a document, by an isolation forest over rule statistics and an exact share."""
+"""Problem 10: repetition inside a document, by an exact share, with an isolation forest over rule statistics beside it."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ LIMIT = 0.45
 #: Length of the runs that are looked up, and of a gap between two repeated runs that counts as a swapped name.
 WORD_RUN, WORD_GAP = 4, 2
 CHAR_RUN, CHAR_GAP = 12, 5
-#: Labelled rows the forest is fitted and calibrated on, at most; trees and rows per tree.
+#: Rows the forest is fitted on, at most; trees and rows per tree.
 SAMPLE, TREES, PER_TREE = 4096, 64, 256
 _SENTENCE = re.compile(r"[.!?。！？\n]+")
 
@@ -124,46 +124,36 @@ class Forest:
         return total / max(1, len(self.trees))
 
 
-def fit(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> tuple[Forest, float]:
-    """A forest and the longest path at which a document is still looked at closely.
-
-    Fitted on at most ``sample`` documents, those with the smallest hashes of their keys; each is labelled by the exact share.
-    The path is the longest of any sampled document that repeats more than two thirds of the limit, plus a tenth; without such
-    a document every document is looked at.
-    """
+def fit(docs: DataFrame, key: str, text: str, sample: int = SAMPLE) -> Forest:
+    """A forest fitted on at most ``sample`` documents, those with the smallest hashes of their keys."""
     plain = take(docs, key=key, text=text).where("key is not null and text is not null")
     chosen = plain.select("key").orderBy(F.xxhash64("key"), "key").limit(sample).distinct()
     rows = plain.join(F.broadcast(chosen), "key").dropDuplicates(["key"])
 
-    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"x": [statistics(t) for t in b["text"]], "share": [share(t) for t in b["text"]]})
+            yield pd.DataFrame({"x": [statistics(t) for t in b["text"]]})
 
-    got = rows.mapInPandas(label, "x array<double>, share double").collect()
-    if not got:
-        return Forest(np.empty((0, 7))), math.inf
-    x = np.array([r["x"] for r in got])
-    forest = Forest(x)
-    near = forest.paths(x)[np.array([r["share"] for r in got]) > LIMIT * 2 / 3]
-    return forest, float(near.max()) * 1.1 if len(near) else math.inf
+    got = rows.mapInPandas(describe, "x array<double>").collect()
+    return Forest(np.array([r["x"] for r in got]) if got else np.empty((0, 7)))
 
 
 def repetition(docs: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(key, path, share) of every document: its path length in the forest and, where that is short, its repeated share.
+    """(key, path, share) of every document: its path length in the forest and its repeated share, exact whatever the path.
 
-    Documents whose path is longer than the calibrated one have a null ``share``: they repeat no more than others do. Case,
+    A short path tells that a document's statistics are unlike those of most; nothing depends on it. Case,
     punctuation, numbers and white space don't count; up to two words (five characters in Japanese and Chinese) between two
     repeated runs count as a swapped name. Null and empty texts have a path of 0 and no share. One pass without a shuffle
     follows the fit on a bounded sample; ties and repeated rows have equal results.
     """
-    forest, longest = fit(docs, key, text, sample)
+    forest = fit(docs, key, text, sample)
     rows = take(docs, **{key: key, "text": text})
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = [t if isinstance(t, str) else "" for t in b["text"]]
             paths = forest.paths(np.array([statistics(t) for t in texts]).reshape(-1, 7)) if texts else np.empty(0)
-            shares = [share(t) if t and p <= longest else None for t, p in zip(texts, paths)]
+            shares = [share(t) if t else None for t in texts]
             yield pd.DataFrame({key: b[key], "path": [p if t else 0.0 for t, p in zip(texts, paths)], "share": pd.Series(shares, dtype=object)})
 
     return rows.mapInPandas(measure, f"`{key}` {dict(rows.dtypes)[key]}, path double, share double")

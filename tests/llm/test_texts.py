@@ -182,6 +182,20 @@ def test_repetition_over_a_table(spark):
     assert len(rows) == 328 and repetition.repetition(df.limit(0)).count() == 0
 
 
+def test_every_document_has_its_exact_share(spark):
+    """Also one of a kind that the fitted sample doesn't hold, and with a longer path than those it holds."""
+    rng = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(900)]
+    fresh = [(i, " ".join(rng.choices(vocabulary, k=150)) + ".") for i in range(200)]
+    odd = [(500 + i, "word " * 50) for i in range(20)]
+    half = [(1000 + i, " ".join((a := rng.choices(vocabulary, k=75)) + a)) for i in range(20)]
+    rows = fresh + odd + half
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for sample in (8, 60, repetition.SAMPLE):
+        got = {r["doc_id"]: r["share"] for r in repetition.repetition(df, sample=sample).collect()}
+        assert got == {i: repetition.share(t) for i, t in rows}
+
+
 # -- quality and caps --------------------------------------------------------------------------------------------------
 GOOD = "Mira counted the lanterns along the wall of {0} and told the miller that the river had run dry. Nobody in {0} believed her until the bridge fell, and then it was too late for the {1}. "
 MORE = "Twelve barges lay at the quay of {0} that winter, because the toll had doubled. Every ferryman swore that the {1} would pay for it before the thaw. "
