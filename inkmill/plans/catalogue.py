@@ -250,9 +250,23 @@ _NOT = sql.in_list(list(dict.fromkeys(fixed.NOT_NAMES + fixed.NUMBER_WORDS)))
 SELECT DISTINCT regexp_replace(n, ' +', ' ') AS name FROM m WHERE NOT list_has_any(string_split(regexp_replace(n, ' +', ' '), ' '), {_NOT})"""
 )
 def lore_names(spark, d):
-    """Names of two words in English texts of ASCII letters (word ends beside other letters differ between regex engines)."""
-    docs = table(spark, d, "documents").where("lang = 'en'").where(_text().rlike("^[\\x00-\\x7f]*\\z"))
-    found = docs.select(F.explode(F.regexp_extract_all(_text(), F.lit(r"\b[A-Z][a-z]{2,15}[ ]+[A-Z][a-z]{2,15}\b"), F.lit(0))).alias("n"))
+    """Names of two words in English texts of ASCII letters, as its SQL has it (word ends beside other letters differ between regex engines).
+
+    ``lore_names_whole`` has those of all English texts.
+    """
+    return _names(table(spark, d, "documents").where("lang = 'en'").where(_text().rlike("^[\\x00-\\x7f]*\\z")))
+
+
+@query()
+def lore_names_whole(spark, d):
+    """Names of two words in all English texts; no SQL, as DuckDB's word ends know ASCII letters only."""
+    return _names(table(spark, d, "documents").where("lang = 'en'"))
+
+
+def _names(docs):
+    # a name ends where no letter, digit or underscore of any script is beside it
+    whole = r"(?<![\p{L}\p{N}_])[A-Z][a-z]{2,15}[ ]+[A-Z][a-z]{2,15}(?![\p{L}\p{N}_])"
+    found = docs.select(F.explode(F.regexp_extract_all(_text(), F.lit(whole), F.lit(0))).alias("n"))
     name = F.regexp_replace("n", " +", " ")
     no = F.array(*[F.lit(w) for w in dict.fromkeys(fixed.NOT_NAMES + fixed.NUMBER_WORDS)])
     return found.where(~F.arrays_overlap(F.split(name, " "), no)).select(name.alias("name")).distinct()

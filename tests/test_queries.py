@@ -1,11 +1,13 @@
 import datetime
 import glob
 import os
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from inkmill.functions import fixed
 from inkmill.plans import catalogue
 
 SMALL = "/root/testdata/sf0.001"
@@ -45,6 +47,20 @@ def test_query_runs(spark, name):
     assert catalogue.queries()[name](spark, SMALL).count() > 0
 
 
+def test_names_of_texts_with_any_character(spark, tmp_path):
+    """As Python's regexes find them, whatever else a text holds."""
+    texts = [
+        "Mira Stone met Old Roland — and “Ada Thorn” left.", "Éva Stone, Mira Stoné and Zoë Marsh; Orla  Vane’s café", "Über Bron Hale_x, éBron Tarn and Karl Voss", "The Second, Two Three", None,
+    ]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(90, "Lena Kraus", "de")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    no = set(fixed.NOT_NAMES + fixed.NUMBER_WORDS)
+    found = {re.sub(" +", " ", n) for t in texts if t for n in re.findall(r"\b[A-Z][a-z]{2,15}[ ]+[A-Z][a-z]{2,15}\b", t)}
+    want = {n for n in found if not no & set(n.split(" "))}
+    got = {r["name"] for r in catalogue.queries()["lore_names_whole"](spark, str(tmp_path)).collect()}
+    assert got == want and {"Mira Stone", "Ada Thorn", "Orla Vane", "Karl Voss"} <= got and "Bron Tarn" not in got
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
