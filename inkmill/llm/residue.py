@@ -81,10 +81,15 @@ MESSAGE_CHARS, MARKUP_CHARS = 250, 2000
 _MARKUP = re.compile(r"\A\s*(?:<|\{\s*\"(?:error|success|status|code|message)|Traceback|[\w.]+(?:Exception|Error): )")
 
 
+_SLOT_SIGNS = ("{", "<", "[", "%", "$", "@@", "__", "【", "〔", "［", "○", "〇", "×", "undefined")
+_ASCII_LETTERS = "".join(chr(i) if chr(i).isalpha() else " " for i in range(128))
+
+
 def latin_share(text: str) -> float:
     """The share of pseudo-Latin among the words of a text."""
-    found = re.findall(r"[a-zà-ÿ]+", text.lower())
-    return sum(w in LATIN for w in found) / len(found) if found else 0.0
+    low = text.lower()
+    found = low.translate(_ASCII_LETTERS).split() if low.isascii() else re.findall(r"[a-zà-ÿ]+", low)
+    return sum(map(LATIN.__contains__, found)) / len(found) if found else 0.0
 
 
 def is_short(text: str) -> bool:
@@ -93,7 +98,8 @@ def is_short(text: str) -> bool:
 
 
 def has_slot(text: str) -> bool:
-    return SLOTS.search(text) is not None
+    """Whether a text holds an unfilled slot; a text without any sign that slots begin with needs no pattern."""
+    return any(sign in text for sign in _SLOT_SIGNS) and SLOTS.search(text) is not None
 
 
 def masked(text: str) -> str:

@@ -16,6 +16,8 @@ _CJK_OR_WORD = re.compile(
     "[぀-ヿㇰ-ㇿ㐀-䶿一-鿿가-힯ｦ-ﾟ]"
     "|[^\\W_぀-ヿㇰ-ㇿ㐀-䶿一-鿿가-힯ｦ-ﾟ]+"
 )
+#: For ASCII texts, of which most have nothing else: all but letters and digits become blanks.
+_ASCII_BLANKS = "".join(chr(i) if chr(i).isalnum() else " " for i in range(128))
 _FIELD_LINE = re.compile(r"^[\s>*#\-]*([^\W\d_][\w '’*\-]{0,40}?)[*_\s]*[:：]\s*(.*\S)\s*$")
 
 
@@ -37,12 +39,15 @@ def is_cjk(text: str, letters: int | None = None) -> bool:
 def words(text: str) -> list[str]:
     """Folded words; each Han, kana or Hangul character is a token of its own."""
     folded = fold(text)
-    return WORD.findall(folded) if folded.isascii() else _CJK_OR_WORD.findall(folded)
+    if folded.isascii():
+        return folded.translate(_ASCII_BLANKS).split()
+    return (_CJK_OR_WORD if CJK.search(folded) else WORD).findall(folded)
 
 
 def squeeze(text: str) -> str:
     """Folded letters and digits only."""
-    return NOT_ALNUM.sub("", fold(text))
+    folded = fold(text)
+    return folded.translate(_ASCII_BLANKS).replace(" ", "") if folded.isascii() else NOT_ALNUM.sub("", folded)
 
 
 def _flat(value: object) -> str:
