@@ -226,3 +226,31 @@ def test_cap_keeps_the_best_of_every_stratum(spark):
     more = set(range(300)) - {r["rec_id"] for r in caps.over_cap(df, 0.06).collect()}
     assert len(more) == 60 and {i for i in range(300) if i % 10 == 0} <= more
     assert caps.over_cap(df.limit(0)).count() == 0
+
+
+SENTENCE = "The warden of the old gate counted coins for seven winters, and nobody in the town believed that he would stop."
+
+
+def test_density_finds_furniture_that_no_list_names():
+    page = "\n".join(
+        ["Quux", "Frobnicate", "Zaps", "Alpha | Beta | Gamma", "Sunken gate", "", SENTENCE, "History", SENTENCE, "Advertisement", SENTENCE, "", "Uno · Due · Tre", "Brewed with Frob"]
+    )
+    assert pages.furniture_lines(page) == [1, 2, 3, 4, 10, 13, 14]
+    assert pages.furniture_lines(page, listed=False) == [1, 2, 3, 4, 13, 14]
+
+
+def test_lists_and_tables_at_the_end_of_a_body_stay():
+    page = "\n".join(["Home | Help | Forum", SENTENCE, SENTENCE, "* a rope", "* two torches", "Copyright 2020 Sunken gate"])
+    assert pages.furniture_lines(page) == [1, 6]
+
+
+@pytest.mark.parametrize("page", ["", "one line", "\n\n", "\n".join(["word"] * 30), SENTENCE + "\n" + SENTENCE, "Home\nHelp"])
+def test_texts_that_are_no_pages_have_no_furniture(page):
+    assert pages.furniture_lines(page) == []
+
+
+def test_body_of_html_by_its_nodes():
+    menu = "".join(f"<li><a href=x>Link {k}</a></li>" for k in range(12))
+    page = f"<html><body><div><ul>{menu}</ul></div><div><h2>History</h2><p>{SENTENCE} <b>So</b> it <a>goes</a>.</p><p>{SENTENCE}</p><p>{SENTENCE}</p></div><div><a>Imprint</a> <a>Privacy</a></div><script>var x = 1;</script></body></html>"
+    assert pages.dom_body(page) == "\n".join(["History", SENTENCE + " So it goes.", SENTENCE, SENTENCE])
+    assert pages.dom_body("") == "" and pages.dom_body("<div>" * 5000) == ""
