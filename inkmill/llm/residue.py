@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..session import stored
 from .columns import source_key, take
-from .text import fold
+from .text import fold, h64
 
 # Shapes of template slots that nobody filled.
 SLOTS = re.compile(
@@ -27,7 +27,13 @@ SLOTS = re.compile(
     r"|\[object Object\]"
     r"|[【〔［\[][^】〕］\]\n]{0,20}(?:入力|記入|ここに|填写|補充|补充|待定|未定|輸入|输入)[^】〕］\]\n]{0,20}[】〕］\]]"
     r"|[○〇×]{3,}"
-    r"|(?<![\w'’-])undefined(?=[\s,.;:!?…]*(?:$|\n|[,.;:!?]))|\b(?:of|from|to|in|by|with|led|said|asked|and|near|at|de|a|à|von|en) undefined(?!\w)|(?:^|[.,!?]\s)undefined (?!\w+ly)(?=\w)"
+    r"|\b(?=[A-Z_]*(?:XX|NAME|PLACEHOLDER|TITLE|INSERT))[A-Z]+(?:_[A-Z]+)+\b"
+    r"|\[(?:su|tu|votre|ton|ihre?|deine?|your|my|(?:name|title|nom|titre|titel|nombre|título|place|ort|lieu|lugar|date|datum|fecha|author|character|text|texto|texte)(?: of| de| des| du| del| der)?)(?: [^\[\]\n]{1,40})?\](?!\()"
+    r"|\[(?:SU|TU|VOTRE|TON|IHRE?|DEINE?|YOUR|NAMEN?|NOM|TITEL|TITRE|TÍTULO|TEXTO?|TEXTE?|Su|Votre|Ihre?|Dein|Name|Title|Nom|Titre|Titel|Nombre|Título|Texto?|Texte)(?: [^\[\]\n]{1,40})?\](?!\()"
+    r"|\((?:insert|enter|fill in|insérer|insertar|einfügen|hier)\b[^()\n]{0,60} (?:here|text|description|name|title|ici|aquí|einfügen|eintragen)\b[^()\n]{0,20}\)"
+    # where a name should stand, as no article, copula or adverb comes before it
+    r"|(?<![\w'’-])(?<!\b[Aa]n )(?<!\b[Tt]he )(?<!\b[Aa] )(?<!\b[Ss]ome )(?<!\b[Aa]ny )(?<!\b[Nn]o )(?<!\bis )(?<!\bare )(?<!\bwas )(?<!\bwere )(?<!\bbe )(?<!\bbeen )(?<!\bleft )(?<!\bremains )(?<!\bremain )(?<!\bas )(?<!\bstill )(?<!\bnot )undefined(?![\w'’-])(?! \w+ly\b)"
+    r"|(?<=[぀-ヿ㐀-鿿])undefined(?=[぀-ヿ㐀-鿿])"
 )
 # What a server, a program or a site says in place of a text; all compared in lower case.
 ERRORS = re.compile(
@@ -71,6 +77,7 @@ LATIN = frozenset(
 _ADDRESS = re.compile(r"(?:https?://|www\.)\S+|(?<![\w<])/[\w.%\-]+(?:/[\w.%\-]*)*")
 _CODE = re.compile(r"\b(?=[a-z]*\d)[0-9a-f]{6,}\b|\b[0-9a-f]{8}-[0-9a-f-]{20,}\b")
 _DATE = re.compile(r"\d{1,4}[./\-年]\d{1,2}[./\-月]\d{1,4}日?|\d{1,2}:\d{2}(?::\d{2})?")
+_DIGIT = re.compile(r"\d")
 _NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 _NAME = re.compile(r"(?<=[\w,;:(] )[A-Z][\w'’\-]+(?: [A-Z][\w'’\-]+)*|[ァ-ヺー]{3,}")
 _TITLE = re.compile(r"\A[^\n.!?。！？]{1,60}\n+")
@@ -81,7 +88,7 @@ MESSAGE_CHARS, MARKUP_CHARS = 250, 2000
 _MARKUP = re.compile(r"\A\s*(?:<|\{\s*\"(?:error|success|status|code|message)|Traceback|[\w.]+(?:Exception|Error): )")
 
 
-_SLOT_SIGNS = ("{", "<", "[", "%", "$", "@@", "__", "【", "〔", "［", "○", "〇", "×", "undefined")
+_SLOT_SIGNS = ("{", "(insert ", "(enter ", "(fill in ", "(insérer ", "(insertar ", "(einfügen ", "(hier ", "<", "[", "%", "$", "@@", "_", "【", "〔", "［", "○", "〇", "×", "undefined")
 _ASCII_LETTERS = "".join(chr(i) if chr(i).isalpha() else " " for i in range(128))
 
 
@@ -105,10 +112,12 @@ def has_slot(text: str) -> bool:
 def masked(text: str) -> str:
     """A message with its addresses, codes, dates, numbers and proper names masked and white space evened out."""
     text = _TITLE.sub("", text.strip(), count=1) or text
-    text = _NAME.sub("@", text)
-    text = fold(text)
-    for pattern, sign in ((_ADDRESS, "§a"), (_CODE, "§c"), (_DATE, "§d"), (_NUMBER, "#")):
-        text = pattern.sub(sign, text)
+    text = fold(_NAME.sub("@", text))
+    if "/" in text or "www." in text:
+        text = _ADDRESS.sub("§a", text)
+    if _DIGIT.search(text):
+        for pattern, sign in ((_CODE, "§c"), (_DATE, "§d"), (_NUMBER, "#")):
+            text = pattern.sub(sign, text)
     return " ".join(text.split())
 
 
@@ -121,7 +130,7 @@ def message_kind(text: str, sources: int = 1) -> str | None:
         return "error"
     if FILLER.search(low):
         return "filler"
-    if sources >= 3 and len(low) < 200 and WEAK.search(low):
+    if sources >= SOURCES and len(low) < 200 and WEAK.search(low):
         return "error"
     return None
 
@@ -137,52 +146,75 @@ def kind(text: str | None) -> str | None:
     return message_kind(text) if is_short(text) else None
 
 
-@F.pandas_udf(T.StructType([T.StructField("own", T.StringType()), T.StructField("mask", T.StringType())]))
+#: Sources over which a message has to recur before weak words count, and before a long text can be one; the share of its characters
+#: that must stand in sentences of messages then.
+SOURCES, MESSAGE_SHARE = 3, 0.5
+_SENTENCE = re.compile(r"[^.!?。！？\n>]+[.!?。！？>]*")
+
+
+def long_kind(text: str) -> str | None:
+    """error, script or filler if most of a text of any length stands in sentences that are such messages; the kind of most of it."""
+    chars: dict[str | None, int] = {}
+    for part in _SENTENCE.findall(text):
+        found = message_kind(part)
+        chars[found] = chars.get(found, 0) + len(part.strip())
+    total, plain = sum(chars.values()), chars.pop(None, 0)
+    return max(chars, key=chars.__getitem__) if chars and total - plain >= MESSAGE_SHARE * total else None
+
+
+@F.pandas_udf(T.StructType([T.StructField("own", T.StringType()), T.StructField("group", T.LongType()), T.StructField("short", T.BooleanType())]))
 def _looked_at(texts: pd.Series) -> pd.DataFrame:
-    """What long texts show by themselves; for short ones the masked message."""
+    """What texts show by themselves, whatever recurs; for the others the hash of the masked text."""
     rows = []
     for t in texts:
         if not isinstance(t, str) or not t.strip():
-            rows.append((None, None))
-        elif not is_short(t) or has_slot(t):
-            rows.append((kind(t), None))
-        else:
-            rows.append((None, masked(t)))
-    return pd.DataFrame(rows, columns=["own", "mask"])
+            rows.append((None, None, None))
+            continue
+        short = is_short(t)
+        own = "slot" if has_slot(t) else None if short else kind(t)
+        rows.append((own, None if own else h64(masked(t)), short))
+    return pd.DataFrame(rows, columns=["own", "group", "short"])
 
 
 @F.pandas_udf(T.StringType())
 def _group_kind(texts: pd.Series, sources: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            kind(t) or message_kind(t, int(n)) for t, n in zip(texts, sources)
-        ],
-        dtype=object,
-    )
+    return pd.Series([kind(t) or message_kind(t, int(n)) for t, n in zip(texts, sources)], dtype=object)
+
+
+@F.pandas_udf(T.StringType())
+def _long_kind(texts: pd.Series) -> pd.Series:
+    return pd.Series([long_kind(t) for t in texts], dtype=object)
 
 
 def residue(*tables: DataFrame, key: str = "rec_id", text: str = "output", source: str = "metadata.source_id") -> DataFrame:
     """(key, kind): the records that hold an unfilled slot (``slot``) or are ``filler``, an ``error`` or a demand for a ``script``.
 
-    Texts of at most 250 characters (2,000 for markup, JSON and stack traces) are masked (numbers, codes, addresses, dates, proper names) and grouped over all tables by
-    the hash of what is left; the rows and the distinct sources of each group are counted with partial sums before the
-    shuffle, one text stands for the group, and the phrase rules classify it once. Slots and pseudo-Latin are looked for in
-    texts of any length, in whole. Null or blank texts are no case; rows with a null key are left out; equal rows give equal
-    results, once per row. Only hashes, sources and one message per group are shuffled, never the texts of records.
+    Texts of any length are masked (numbers, codes, addresses, dates, proper names) and grouped over all tables by the hash of
+    what is left; rows and sources are counted with partial sums before the shuffle, and one text stands for its group. A short
+    message (up to 250 characters, 2,000 for markup, JSON and stack traces) is classified by the phrase rules, weak words
+    counting only where it recurs over three sources or more; a longer text only where it recurs so, and if at least half of it
+    stands in such messages. Slots and pseudo-Latin are looked for in texts of any length, in whole. Null or blank texts are no
+    case; rows with a null key are left out; equal rows give equal results, once per row. Only hashes, sources and one message per
+    group are shuffled, and of long texts those that stand for a recurring group.
     """
     rows = reduce(
         DataFrame.unionByName,
         [take(t, **{key: key, "source": source_key(F.col(source)), "text": text}) for t in tables],
     ).where(F.col(key).isNotNull() & F.col("text").isNotNull())
-    seen = rows.withColumn("x", _looked_at("text")).select(key, "source", "x.own", "x.mask", F.when(F.col("x.mask").isNotNull(), F.col("text")).alias("sample")).where("own is not null or mask is not null")
-    # read three times below: without the file every reading would look at all texts again
-    seen = stored(seen.withColumn("group", F.xxhash64("mask")), "residue")
-    messages = seen.where("mask is not null")
+    looked = rows.withColumn("x", _looked_at("text"))
+    seen = looked.select(key, "source", "x.own", "x.group", "x.short", F.when(F.col("x.short") & F.col("x.own").isNull(), F.col("text")).alias("sample"))
+    # read several times below: without the file every reading would look at all texts again
+    seen = stored(seen.where("own is not null or group is not null"), "residue")
+    messages = seen.where("group is not null")
     groups = (
-        messages.groupBy("group", "source").agg(F.min("sample").alias("sample"))
-        .groupBy("group").agg(F.min("sample").alias("sample"), F.count("source").alias("sources"))
+        messages.groupBy("group", "source", "short").agg(F.min("sample").alias("sample"), F.min(key).alias("first"))
+        .groupBy("group", "short").agg(F.min("sample").alias("sample"), F.min("first").alias("first"), F.count("source").alias("sources"))
     )
-    classified = groups.select("group", _group_kind("sample", "sources").alias("kind")).where("kind is not null")
+    short = groups.where("short").select("group", _group_kind("sample", "sources").alias("kind"))
+    recurring = groups.where(~F.col("short") & (F.col("sources") >= SOURCES)).select("group", F.col("first").alias("k"))
+    # the texts that stand for long groups are few and are fetched before they are looked at
+    standing = stored(rows.join(recurring, F.col(key) == F.col("k")).groupBy("group").agg(F.min("text").alias("text")), "standing")
+    classified = short.unionByName(standing.select("group", _long_kind("text").alias("kind"))).where("kind is not null")
     return (
         messages.select(key, "group").join(classified, "group").select(key, "kind")
         .unionByName(seen.where("own is not null").select(key, F.col("own").alias("kind")))

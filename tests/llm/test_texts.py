@@ -254,3 +254,27 @@ def test_body_of_html_by_its_nodes():
     page = f"<html><body><div><ul>{menu}</ul></div><div><h2>History</h2><p>{SENTENCE} <b>So</b> it <a>goes</a>.</p><p>{SENTENCE}</p><p>{SENTENCE}</p></div><div><a>Imprint</a> <a>Privacy</a></div><script>var x = 1;</script></body></html>"
     assert pages.dom_body(page) == "\n".join(["History", SENTENCE + " So it goes.", SENTENCE, SENTENCE])
     assert pages.dom_body("") == "" and pages.dom_body("<div>" * 5000) == ""
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["Let the pilgrim of [name of villain] speak.", "The chronicle of (insert description here) tells.", "He walked to XX_NAME_XX and back.", "La casa de [su texto aquí] cayó.", "[NAMEN EINFÜGEN] sah den Turm.", "Every winter undefined painted the mill."],
+)
+def test_more_slots(text):
+    assert residue.kind(text) == "slot"
+
+
+@pytest.mark.parametrize("text", ["An undefined shape stood there.", "The border was left undefined.", "See [Title](page).", "THE DUCHESS _SAW KRAETHESK_PUTHEK_ THERE", "(enter the hall with care)"])
+def test_what_only_resembles_slots(text):
+    assert residue.kind(text) is None
+
+
+def test_long_messages_count_where_they_recur(spark):
+    """A message of over 250 characters is one where three sources bring it, whatever its numbers; prose with such words isn't."""
+    lines = ["Service temporarily unavailable.", "Please try again later.", "An unexpected error has occurred on our site.", "Request blocked, ray id {n}."]
+    message = " ".join(lines * 4)
+    prose = "The gate stood open and the old warden slept beside the fire while his dog watched the road. " * 5 + "Access denied, said the guard."
+    rows = [(i, message.format(n=i * 977), {"source_id": f"site {i}"}) for i in range(3)]
+    rows += [(10 + i, prose, {"source_id": f"site {i}"}) for i in range(4)] + [(20, message.replace("our", "their").format(n=5), {"source_id": "one"})]
+    df = spark.createDataFrame(rows, "rec_id long, output string, metadata struct<source_id string>")
+    assert {tuple(r) for r in residue.residue(df).collect()} == {(i, "error") for i in range(3)}
