@@ -141,6 +141,14 @@ TRANSLATE_FROM_EN = [
     "請將以下英語文本翻譯成{lang}，保留奇幻風格：",
     "把以下英語段落翻譯成{lang}，維持世界觀風格：",
 ]
+# System prompts of conversations.
+STORY_SYSTEM = "You are a creative narrative writer specializing in {genre} fiction. Given a story excerpt or opening line, continue the narrative with vivid prose that matches the existing tone and style."
+STORY_SYSTEM_JA = "あなたは{genre}の熟練した物語作家です。与えられた文章や書き出しに続けて、既存のトーンやスタイルに合わせた生き生きとした散文で物語を続けてください。"
+NER_SYSTEM = '你是一個遊戲後台的實體抓取器 (NER)。請分析以下文本，精準提取所有角色名稱與組織名稱，並以 JSON 格式輸出。輸出格式：{"角色": ["..."], "組織": ["..."]}'
+SENTIMENT_SYSTEM = "你是一個情緒判讀分析器。請閱讀以下文本段落，判斷其主要情緒基調，並從下列標籤中選擇最符合者輸出：「正面 (Positive)」、「負面/緊張 (Negative/Tense)」、「中性/描述 (Neutral)」、「動作/衝突 (Action)」。只需輸出標籤名稱，不需額外說明。"
+TRANSLATOR_SYSTEM = "你是一個精通多語言的遊戲世界觀翻譯專家。請將以下{src_lang}的奇幻/遊戲世界觀文本翻譯成{tgt_lang}，保留專有名詞的原始風格與語氣。"
+#: What the system prompt of a sentiment record says, and the lists of an entity record one of which must not be empty.
+SENTIMENT_MARKS, ENTITY_LISTS = ["情緒判讀", "情緒基調"], ["角色", "組織"]
 PENDING = "<NEEDS_GM_RESPONSE>"
 GM_SYSTEM = (
     "你是一位資深的遊戲主持人 (Game Master)。"

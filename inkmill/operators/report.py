@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import DATASET_TYPES, HEALTH, HEALTH_BY_FILE, PENDING, STATUS
 from ..functions.quality import is_bad
 from ..functions.text import md5_of, strip, word_count
+from ..session import stored
 
 
 def dataset_stats(records: DataFrame, words: str, source: str, language: str) -> DataFrame:
@@ -32,12 +33,13 @@ def dataset_stats(records: DataFrame, words: str, source: str, language: str) ->
     )
 
 
-def nearest_rank(rows: DataFrame, value: str, by: list[str], percents: tuple[int, ...] = (25, 50, 75)) -> DataFrame:
+def nearest_rank(rows: DataFrame, value: str, by: list[str], percents: tuple[int, ...] = (25, 50, 75), weight: str | None = None) -> DataFrame:
     """Per group the value at place min(floor(n p / 100), n - 1) of the sorted values, as ``p25`` and so on; ``least`` and ``most``.
 
-    Values are counted first, so only distinct values and their numbers are ordered, never the rows of a group.
+    Values are counted first, so only distinct values and their numbers are ordered, never the rows of a group. A row counts
+    ``weight`` times, if given.
     """
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*by, value).agg((F.sum(weight) if weight else F.count("*")).alias("_n"))
     group = Window.partitionBy(*by)
     upto = F.sum("_n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
     placed = counted.withColumn("_upto", upto).withColumn("_all", F.sum("_n").over(group))
@@ -48,24 +50,44 @@ def nearest_rank(rows: DataFrame, value: str, by: list[str], percents: tuple[int
     return placed.groupBy(*by).agg(*out, F.min(value).alias("least"), F.max(value).alias("most"))
 
 
+def counted_texts(records: DataFrame) -> DataFrame:
+    """What health asks of the records of files (file, format, text, source, language, pending, valid), read once.
+
+    One row per file, source, language and distinct text, without the text: its checksum, its words, and how often it is there, is
+    bad or pending. It is written to the shared folder, as all figures come from it.
+    """
+    valid = F.col("valid")
+    small = records.select(
+        "file", "format", "source", "language", "valid",
+        F.when(valid, md5_of(F.coalesce("text", F.lit("")))).alias("h"), F.when(valid, word_count(F.col("text"))).alias("w"),
+        (valid & is_bad(F.col("text"))).cast("long").alias("bad"), (valid & F.col("pending")).cast("long").alias("pending"),
+    )
+    by = ["file", "format", "source", "language", "valid", "h", "w"]
+    return stored(small.groupBy(*by).agg(F.count("*").alias("n"), F.sum("bad").alias("bad"), F.sum("pending").alias("pending")), "health")
+
+
 def file_metrics(records: DataFrame) -> DataFrame:
-    """Health metrics per file of records (file, format, text, source, language, pending, valid).
+    """Health metrics per file of records (file, format, text, source, language, pending, valid), which are read once.
 
     ``valid`` tells a record from a line that couldn't be read. Counts are sums; copies are records less distinct texts.
     """
-    r = records.where("valid")
-    base = records.groupBy("file").agg(
-        F.count("*").alias("total_lines"),
+    return metrics_of(counted_texts(records))
+
+
+def metrics_of(counted: DataFrame) -> DataFrame:
+    """``file_metrics`` from ``counted_texts``."""
+    valid = lambda c: F.sum(F.when(F.col("valid"), F.col(c)).otherwise(0))
+    base = counted.groupBy("file").agg(
+        F.sum("n").alias("total_lines"),
         F.min("format").alias("format"),
-        F.sum(F.col("valid").cast("long")).alias("valid_records"),
-        F.sum((~F.col("valid")).cast("long")).alias("format_errors"),
-        F.sum(F.when(F.col("valid") & is_bad(F.col("text")), 1).otherwise(0)).alias("bad_samples"),
-        F.sum(F.when(F.col("valid") & F.col("pending"), 1).otherwise(0)).alias("needs_generation"),
+        valid("n").alias("valid_records"),
+        F.sum(F.when(~F.col("valid"), F.col("n")).otherwise(0)).alias("format_errors"),
+        F.sum("bad").alias("bad_samples"),
+        F.sum("pending").alias("needs_generation"),
     )
-    texts = r.groupBy("file", md5_of(F.coalesce("text", F.lit(""))).alias("h")).agg(F.count("*").alias("n"))
-    dups = texts.groupBy("file").agg((F.sum("n") - F.count("*")).alias("exact_dups"))
-    counted = r.select("file", word_count(F.col("text")).alias("w"))
-    ranks = nearest_rank(counted, "w", ["file"], (25, 50, 75))
+    r = counted.where("valid")
+    dups = r.groupBy("file", "h").agg(F.sum("n").alias("n")).groupBy("file").agg((F.sum("n") - F.count("*")).alias("exact_dups"))
+    ranks = nearest_rank(r, "w", ["file"], (25, 50, 75), "n")
     out = base.join(dups, "file", "left").join(ranks, "file", "left")
     return out.select(
         "file", "format", "total_lines", "valid_records", "format_errors", "bad_samples", F.coalesce("exact_dups", F.lit(0)).alias("exact_dups"),
@@ -74,6 +96,32 @@ def file_metrics(records: DataFrame) -> DataFrame:
     )
 
 
+def breakdown(counted: DataFrame) -> DataFrame:
+    """(file, kind, name, records, bad) by source and by language from ``counted_texts``; a missing name is ``unknown``."""
+    r = counted.where("valid").withColumn("source", F.coalesce("source", F.lit("unknown"))).withColumn("language", F.coalesce("language", F.lit("unknown")))
+    sets = r.groupingSets([[F.col("file"), F.col("source")], [F.col("file"), F.col("language")]], F.col("file"), F.col("source"), F.col("language"))
+    made = sets.agg(F.grouping("source").alias("g"), F.sum("n").alias("records"), F.sum("bad").alias("bad"))
+    return made.select(
+        "file", F.when(F.col("g") == 0, "source").otherwise("language").alias("kind"), F.when(F.col("g") == 0, F.col("source")).otherwise(F.col("language")).alias("name"), "records", "bad"
+    )
+
+
+def as_maps(parts: DataFrame) -> DataFrame:
+    """(file, by_source, by_language, bad_sources): a ``breakdown`` as maps, the largest counts first, languages by name."""
+    one = lambda cond, count: F.collect_list(F.when(F.expr(cond), F.struct((-F.col(count)).alias("k"), F.col("name"), F.col(count).alias("n"))))
+    mapped = lambda a: F.map_from_entries(F.transform(F.array_sort(a), lambda x: F.struct(x["name"], x["n"])))
+    by_name = F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("kind") == "language", F.struct("name", "records")))))
+    return parts.groupBy("file").agg(
+        mapped(one("kind = 'source'", "records")).alias("by_source"), by_name.alias("by_language"), mapped(one("kind = 'source' and bad > 0", "bad")).alias("bad_sources")
+    )
+
+
+def worst_sources(parts: DataFrame, most: int = 3) -> DataFrame:
+    """(file, source, bad, place): of each file the sources with the most bad samples, three of them being the feature."""
+    place = F.row_number().over(Window.partitionBy("file").orderBy(F.desc("bad"), "name"))
+    return parts.where("kind = 'source' and bad > 0").withColumn("place", place.cast("long")).where(F.col("place") <= most).select("file", F.col("name").alias("source"), "bad", "place")
+
+
 def _limit(name: str) -> Column:
     out = F.lit(HEALTH[name])
     for file, own in HEALTH_BY_FILE.items():

@@ -65,6 +65,8 @@ _SINGLE = re.compile(r"\b[A-Z][a-z]{2,}\b")
 _RUN = re.compile(r"\b[A-Z][a-z]{1,20}(?:\s+[A-Z][a-z]{1,20}){0,2}\b")
 _CALLED = re.compile(rf"the\s+([A-Z][a-zA-Z\s]{{2,40}}?)\s*(?:\b(?:{'|'.join(fixed.ORGANISATIONS)})\b)", re.IGNORECASE)
 _BARE = re.compile(rf"\b[A-Z][a-z]{{2,20}}(?:\s+[A-Z][a-z]{{2,20}}){{0,2}}\s+(?:{'|'.join(fixed.BARE_ORGANISATIONS)})\b")
+_PAIR = re.compile(r"\b([A-Z][a-z]{2,15})\s+([A-Z][a-z]{2,15})\b")
+_FACTION = re.compile(rf"\b[A-Z][a-z]{{2,15}}(?:\s+[A-Z][a-z]{{2,15}})?\s+(?:{'|'.join(fixed.LORE_FACTIONS)})\b")
 _NO_PART, _NUMBERS = frozenset(fixed.NOT_NAMES + fixed.NUMBER_WORDS), frozenset(fixed.NUMBER_WORDS)
 
 
@@ -106,6 +108,40 @@ def sharegpt(system: Column, human: Column, gpt: Column) -> Column:
     return F.array(turn("system", system), turn("human", human), turn("gpt", gpt))
 
 
+def as_alpaca(records: DataFrame) -> DataFrame:
+    """(instruction, input, output, metadata) of ``alpaca``, as they are written; missing fields of the metadata have their defaults."""
+    text = lambda c, default="": F.coalesce(F.col(c), F.lit(default)).alias(c)
+    metadata = F.struct(
+        text("source_id"), text("source_url"), text("category", "trpg"), text("display_name"),
+        F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), text("language", "en"), "chunk_index", "word_count",
+    )
+    return records.select("instruction", "input", "output", metadata.alias("metadata"))
+
+
+def as_stories(records: DataFrame) -> DataFrame:
+    """(conversations) of ``story_pairs``: the system prompt names the genre, in Japanese for Japanese texts."""
+    lead = F.when(F.col("language") == "ja", fixed.STORY_SYSTEM_JA).otherwise(fixed.STORY_SYSTEM)
+    return records.select(sharegpt(F.replace(lead, F.lit("{genre}"), F.col("genre")), F.col("human"), F.col("gpt")).alias("conversations"))
+
+
+def as_analyst(records: DataFrame) -> DataFrame:
+    """(conversations) of ``analyst``."""
+    return records.select(sharegpt(F.when(F.col("task") == "ner", fixed.NER_SYSTEM).otherwise(fixed.SENTIMENT_SYSTEM), F.col("human"), F.col("gpt")).alias("conversations"))
+
+
+def as_translations(records: DataFrame) -> DataFrame:
+    """(conversations) of ``translations``: the system prompt names both languages."""
+    name = lambda c: lookup(F.col(c), fixed.LANGUAGE_NAMES)
+    system = F.replace(F.replace(F.lit(fixed.TRANSLATOR_SYSTEM), F.lit("{src_lang}"), name("source_language")), F.lit("{tgt_lang}"), name("target_language"))
+    return records.select(sharegpt(system, F.col("human"), F.col("gpt")).alias("conversations"))
+
+
+def as_dpo(pairs: DataFrame) -> DataFrame:
+    """(prompt, chosen, rejected) of ``dpo``, each answer with its system turn before it."""
+    both = lambda system, gpt: F.array(*[F.struct(F.lit(who).alias("from"), F.col(c).alias("value")) for who, c in (("system", system), ("gpt", gpt))])
+    return pairs.select("prompt", both("chosen_system", "chosen").alias("chosen"), both("rejected_system", "rejected").alias("rejected"))
+
+
 def unique_chunks(pages: DataFrame, max_words: int, min_words: int = 80, prefix: str = "") -> DataFrame:
     """Sound chunks of all pages, each text once (the first by category, source, url and page), with their place and the
     chunks before and after them among the survivors of their page."""
@@ -138,6 +174,7 @@ def alpaca(chunks: DataFrame, literature: bool, seed: str = "42") -> DataFrame:
         F.col("url").alias("source_url"),
         "category",
         "display_name",
+        "tags",
         "language",
         word_count(F.col("chunk")).alias("word_count"),
     )
@@ -155,6 +192,7 @@ def story_pairs(chunks: DataFrame, seed: str = "42") -> DataFrame:
         "doc_id",
         "chunk_index",
         genre(F.col("tags"), fixed.STORY_GENRES, fixed.STORY_GENRE_DEFAULT).alias("genre"),
+        "language",
         F.concat(lead, F.lit("\n\n"), context).alias("human"),
         F.col("after").alias("gpt"),
     )
@@ -239,6 +277,83 @@ def valid_entity(e: Column) -> Column:
     return none & ~bare.rlike(r"^\d+$") & ~bare.rlike(r"(?iU)^campaign\s+\w+$") & ~demonym
 
 
+def with_answer(conversations: str, value: Column, last: bool = False) -> Column:
+    """The conversation with the value of its first (or last) gpt turn replaced; turns without a role stay as they are."""
+    at = F.transform(conversations, lambda t, i: F.when(t["from"] == "gpt", i))
+    wanted = F.array_max(at) if last else F.array_min(at)
+    return F.transform(conversations, lambda t, i: F.when(i == wanted, F.struct(t["from"].alias("from"), value.alias("value"))).otherwise(t))
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _entities_of(answers: pd.Series) -> pd.Series:
+    """Every text in the lists of a JSON object of lists, each once; null for anything else."""
+
+    def one(text: str) -> list[str] | None:
+        try:
+            value = json.loads(text)
+        except (TypeError, ValueError):
+            return None
+        lists = [v for v in value.values() if isinstance(v, list)] if isinstance(value, dict) else None
+        return None if lists is None else list(dict.fromkeys(e for v in lists for e in v if isinstance(e, str)))
+
+    return answers.map(one, na_action="ignore")
+
+
+@F.pandas_udf(T.StringType())
+def _only(answers: pd.Series, valid: pd.Series) -> pd.Series:
+    """The JSON object with only the valid texts in its lists; null if the lists of entities are then empty."""
+
+    def one(text: str | None, good) -> str | None:
+        if good is None:
+            return None
+        good = set(good)
+        value = {k: [e for e in v if isinstance(e, str) and e in good] if isinstance(v, list) else v for k, v in json.loads(text).items()}
+        return json.dumps(value, ensure_ascii=False) if any(value.get(k) for k in fixed.ENTITY_LISTS) else None
+
+    return pd.Series([one(t, g) for t, g in zip(answers, valid)], dtype=object)
+
+
+def cleaned_analyst(records: DataFrame, conversations: str = "conversations") -> DataFrame:
+    """Analyst records with only valid entities in their answers.
+
+    Records of sentiment pass as they are. Of the others those are left out whose last gpt turn is missing, is no JSON object or has
+    no entity left.
+    """
+    system = F.coalesce(turn(conversations, "system", last=True), F.lit(""))
+    plain = F.contains(system, F.lit(fixed.SENTIMENT_MARKS[0])) | F.contains(system, F.lit(fixed.SENTIMENT_MARKS[1]))
+    answer = turn(conversations, "gpt", last=True)
+    named = records.withColumn("_plain", plain).withColumn("_all", _entities_of(F.when(~F.col("_plain"), answer)))
+    kept = named.withColumn("_new", _only(answer, F.filter("_all", valid_entity)))
+    out = kept.where("_plain or _new is not null")
+    return out.withColumn(conversations, F.when(F.col("_plain"), F.col(conversations)).otherwise(with_answer(conversations, F.col("_new"), last=True))).drop("_plain", "_all", "_new")
+
+
+def canonical_reasoning(records: DataFrame, conversations: str = "conversations") -> DataFrame:
+    """Records with the keys of reasoning in one spelling in their first gpt turn; a turn that is no JSON stays as it is."""
+    made = records.withColumn("_new", canonical_keys(turn(conversations, "gpt")))
+    return made.withColumn(conversations, with_answer(conversations, F.col("_new"))).drop("_new")
+
+
+def lore(pages: DataFrame, text: str = "text", language: str = "language", people: int = 40, factions: int = 20) -> DataFrame:
+    """(kind, name): names of two words and factions in English texts, the first ones in order of code points.
+
+    How many is the feature: they fill templates. Of each kind only distinct names are ordered.
+    """
+
+    @F.pandas_udf(T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in ("person", "faction")]))
+    def found(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            pairs = {f"{m[1]} {m[2]}" for m in _PAIR.finditer(t) if _NO_PART.isdisjoint((m[1], m[2]))}
+            rows.append((sorted(pairs), sorted({m[0] for m in _FACTION.finditer(t)})))
+        return pd.DataFrame(rows, columns=["person", "faction"])
+
+    seen = pages.where((F.col(language) == "en") & F.col(text).isNotNull()).select(found(text).alias("x"))
+    kinds = [(k, n) for k, n in (("person", people), ("faction", factions))]
+    parts = [seen.select(F.lit(k).alias("kind"), F.explode(f"x.{k}").alias("name")).distinct().orderBy("name").limit(n) for k, n in kinds]
+    return parts[0].unionByName(parts[1])
+
+
 @F.pandas_udf(T.StringType())
 def canonical_keys(answers: pd.Series) -> pd.Series:
     """JSON answers with the keys of reasoning in one spelling, at every depth; anything else as it is."""

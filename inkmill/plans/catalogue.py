@@ -144,12 +144,12 @@ def _alpaca_sql(kind: str) -> str:
 
 @query(_alpaca_sql("rpg"))
 def build_alpaca_rpg(spark, d):
-    return shape.alpaca(rpg_chunks(spark, d), literature=False)
+    return shape.alpaca(rpg_chunks(spark, d), literature=False).drop("tags")
 
 
 @query(_alpaca_sql("literature"))
 def build_alpaca_literature(spark, d):
-    return shape.alpaca(literature_chunks(spark, d), literature=True)
+    return shape.alpaca(literature_chunks(spark, d), literature=True).drop("tags")
 
 
 @query(
@@ -184,7 +184,7 @@ def lookup_defaults(spark, d):
     )
 
 
-def _story_sql() -> str:
+def _story_sql(more: str = "") -> str:
     s = sql.sentences("chunk")
     tail = sql.strip(f"array_to_string({s}[greatest(len({s}) - 1, 1):], ' ')")
     context = f"(CASE WHEN {sql.wc(tail)} < 10 THEN {sql.strip('right(chunk, 300)')} ELSE {tail} END)"
@@ -192,16 +192,47 @@ def _story_sql() -> str:
     lead = f"(CASE WHEN language = 'ja' THEN {sql.filled(fixed.CONTINUATION_PROMPTS_JA, sql.pick(3, *key))} ELSE {sql.filled(fixed.CONTINUATION_PROMPTS, sql.pick(5, *key))} END)"
     return (
         f"WITH {sql.unique(400, 'category IN (' + ', '.join(map(sql.q, fixed.STORY_CATEGORIES)) + ')')} SELECT doc_id, chunk_index::BIGINT AS chunk_index, "
-        f"{sql.genre('tags', fixed.STORY_GENRES, fixed.STORY_GENRE_DEFAULT)} AS genre, {lead} || chr(10) || chr(10) || {context} AS human, after AS gpt FROM uniq WHERE after IS NOT NULL"
+        f"{sql.genre('tags', fixed.STORY_GENRES, fixed.STORY_GENRE_DEFAULT)} AS genre, {lead} || chr(10) || chr(10) || {context} AS human, after AS gpt{more} FROM uniq WHERE after IS NOT NULL"
     )
 
 
-@query(_story_sql())
-def storyteller_pairs(spark, d):
+def _stories(spark, d):
     pages = raw_pages(spark, d).where(F.col("category").isin(fixed.STORY_CATEGORIES))
     return shape.story_pairs(shape.unique_chunks(pages, 400))
 
 
+@query(_story_sql())
+def storyteller_pairs(spark, d):
+    return _stories(spark, d).drop("language")
+
+
+def _turns(records: DataFrame, conversations: str = "conversations") -> DataFrame:
+    """(turn, who, value): the turns of conversations, one row each."""
+    return records.select(F.posexplode(conversations).alias("turn", "t")).select(F.col("turn").cast("long").alias("turn"), F.col("t.from").alias("who"), F.col("t.value").alias("value"))
+
+
+def _turns_sql(records: str, system: str) -> str:
+    return (
+        f"WITH recs AS ({records}) SELECT 0::BIGINT AS turn, 'system' AS who, {system} AS value FROM recs UNION ALL SELECT 1, 'human', human FROM recs UNION ALL SELECT 2, 'gpt', gpt FROM recs"
+    )
+
+
+@query(_turns_sql(_story_sql(", language"), f"replace(CASE WHEN language = 'ja' THEN {sql.q(fixed.STORY_SYSTEM_JA)} ELSE {sql.q(fixed.STORY_SYSTEM)} END, '{{genre}}', genre)"))
+def storyteller_turns(spark, d):
+    """The conversations of the storyteller set, turn by turn."""
+    return _turns(shape.as_stories(_stories(spark, d)))
+
+
+@query(
+    f"WITH recs AS ({_alpaca_sql('rpg').replace('display_name, language,', 'display_name, tags, language,')}) SELECT instruction, input, output, coalesce(source_id, '') AS source_id, coalesce(source_url, '') AS source_url, "
+    "coalesce(category, 'trpg') AS category, coalesce(display_name, '') AS display_name, coalesce(array_to_string(tags, '|'), '') AS tags, coalesce(language, 'en') AS language, chunk_index, word_count FROM recs"
+)
+def alpaca_records(spark, d):
+    """Instruction records with their metadata as written, its fields side by side."""
+    made = shape.as_alpaca(shape.alpaca(rpg_chunks(spark, d), literature=False))
+    return made.select("instruction", "input", "output", "metadata.*").withColumn("tags", F.array_join("tags", "|"))
+
+
 @query(f"SELECT rec_id, {sql.sentiment('output')} AS label FROM literature_dataset WHERE output IS NOT NULL")
 def sentiment_label(spark, d):
     return table(spark, d, "literature_dataset").where("output is not null").select("rec_id", shape.sentiment(F.col("output")).alias("label"))
@@ -242,25 +273,28 @@ def translator_records(spark, d):
     return shape.translations(shape.unique_chunks(raw_pages(spark, d), 200, prefix="trans:"), _LANGS)
 
 
-_NOT = sql.in_list(list(dict.fromkeys(fixed.NOT_NAMES + fixed.NUMBER_WORDS)))
+_NAME_OF = lambda c: sql.case_map(c, fixed.LANGUAGE_NAMES, c)
 
 
-@query(
-    f"""WITH m AS (SELECT unnest(regexp_extract_all(text, '\\b[A-Z][a-z]{{2,15}}[ ]+[A-Z][a-z]{{2,15}}\\b')) AS n FROM documents WHERE lang = 'en' AND regexp_full_match(text, '[\\x00-\\x7f]*'))
-SELECT DISTINCT regexp_replace(n, ' +', ' ') AS name FROM m WHERE NOT list_has_any(string_split(regexp_replace(n, ' +', ' '), ' '), {_NOT})"""
-)
-def lore_names(spark, d):
-    """Names of two words in English texts of ASCII letters, as its SQL has it (word ends beside other letters differ between regex engines).
+@query(_turns_sql(_translator_sql(), f"replace(replace({sql.q(fixed.TRANSLATOR_SYSTEM)}, '{{src_lang}}', {_NAME_OF('source_language')}), '{{tgt_lang}}', {_NAME_OF('target_language')})"))
+def translator_turns(spark, d):
+    """The conversations of the translator set, turn by turn."""
+    return _turns(shape.as_translations(translator_records(spark, d)))
+
 
-    ``lore_names_whole`` has those of all English texts.
-    """
-    return _names(table(spark, d, "documents").where("lang = 'en'").where(_text().rlike("^[\\x00-\\x7f]*\\z")))
+_NOT = sql.in_list(list(dict.fromkeys(fixed.NOT_NAMES + fixed.NUMBER_WORDS)))
 
 
 @query()
-def lore_names_whole(spark, d):
+def lore_names(spark, d):
     """Names of two words in all English texts; no SQL, as DuckDB's word ends know ASCII letters only."""
-    return _names(table(spark, d, "documents").where("lang = 'en'"))
+    return _names(table(spark, d, "documents").where("lang = 'en' and text is not null"))
+
+
+@query()
+def lore_harvest(spark, d):
+    """The first 40 names and 20 factions of English texts, that many being the feature; no SQL for the same reason."""
+    return shape.lore(table(spark, d, "documents"), language="lang")
 
 
 def _names(docs):
@@ -281,10 +315,31 @@ def _valid_sql(x: str) -> str:
     )
 
 
-@query(f"SELECT DISTINCT title AS entity FROM documents WHERE title IS NOT NULL AND {_valid_sql('title')}")
+def _analyst_records(spark, d) -> DataFrame:
+    """A conversation for each document: entities are its title, source, category and url, or a label for texts of odd ids."""
+    docs = table(spark, d, "documents")
+    names = F.to_json(F.struct(F.array_compact(F.array("title", "category")).alias(fixed.ENTITY_LISTS[0]), F.array_compact(F.array("source")).alias(fixed.ENTITY_LISTS[1])))
+    odd = F.col("doc_id") % 2 == 1
+    system = F.when(odd, fixed.SENTIMENT_SYSTEM).otherwise(fixed.NER_SYSTEM)
+    return docs.select("doc_id", shape.sharegpt(system, F.coalesce("title", F.lit("")), F.when(odd, fixed.SENTIMENTS["neutral"]).otherwise(names)).alias("conversations"))
+
+
+_ENTITIES = lambda *c: f"list_filter([{', '.join(c)}], lambda e: e IS NOT NULL AND {_valid_sql('e')})"
+
+
+@query(
+    f"""WITH e AS (SELECT doc_id, {_ENTITIES('title', 'category')} AS a, {_ENTITIES('source')} AS b FROM documents WHERE doc_id % 2 = 0)
+SELECT doc_id, NULL AS label, array_to_string(a, '|') AS names, array_to_string(b, '|') AS organisations FROM e WHERE len(a) + len(b) > 0 UNION ALL SELECT doc_id, {sql.q(fixed.SENTIMENTS['neutral'])}, NULL, NULL FROM documents WHERE doc_id % 2 = 1"""
+)
 def analyst_clean(spark, d):
-    """Titles that may stand as entities."""
-    return table(spark, d, "documents").where(F.col("title").isNotNull() & shape.valid_entity(F.col("title"))).select(F.col("title").alias("entity")).distinct()
+    """Analyst records with invalid entities taken out and empty records dropped; records of sentiment pass."""
+    made = shape.cleaned_analyst(_analyst_records(spark, d))
+    answer = shape.turn("conversations", "gpt")
+    lists = F.from_json(answer, f"`{fixed.ENTITY_LISTS[0]}` array<string>, `{fixed.ENTITY_LISTS[1]}` array<string>")
+    named = answer.startswith("{")
+    return made.select(
+        "doc_id", F.when(~named, answer).alias("label"), *[F.when(named, F.array_join(lists[x], "|")).alias(n) for x, n in zip(fixed.ENTITY_LISTS, ("names", "organisations"))]
+    )
 
 
 _TEXT = "array_to_string(list_filter(list_transform(conversations, lambda t: t.value), lambda v: v IS NOT NULL AND v <> ''), ' ')"
@@ -315,15 +370,36 @@ def dpo_pairs(spark, d):
     return shape.dpo(table(spark, d, "lora_storyteller"), "rec_id")
 
 
+@query(
+    f"""WITH p AS (SELECT {_FIRST('system')} AS s, {_FIRST('gpt')} AS g FROM lora_storyteller WHERE len(list_filter(conversations, lambda t: t['from'] = 'human')) > 0 AND len(list_filter(conversations, lambda t: t['from'] = 'gpt')) > 0)
+SELECT 'chosen' AS answer, 0::BIGINT AS turn, 'system' AS who, {sql.q(fixed.GM_SYSTEM)} AS value FROM p UNION ALL SELECT 'chosen', 1, 'gpt', {sql.q(fixed.PENDING)} FROM p
+UNION ALL SELECT 'rejected', 0, 'system', s FROM p UNION ALL SELECT 'rejected', 1, 'gpt', g FROM p"""
+)
+def dpo_turns(spark, d):
+    """Both answers of the preference pairs, turn by turn."""
+    made = shape.as_dpo(dpo_pairs(spark, d))
+    parts = [_turns(made, c).select(F.lit(c).alias("answer"), "*") for c in ("chosen", "rejected")]
+    return parts[0].unionByName(parts[1])
+
+
 @query(f"SELECT rec_id FROM lora_storyteller_dpo WHERE len(list_filter(chosen, lambda t: t['from'] = 'gpt' AND contains(coalesce(t.value, ''), {sql.q(fixed.PENDING)}))) > 0")
 def dpo_pending(spark, d):
     return table(spark, d, "lora_storyteller_dpo").where(report.is_pending("chosen")).select("rec_id")
 
 
-@query()
+_OLD, _NEW = list(fixed.REASONING_KEYS), list(fixed.REASONING_KEYS.values())
+
+
+@query(
+    f"""SELECT rec_id, CASE WHEN rec_id % 3 = 0 OR source_id IS NULL THEN coalesce(source_id, '') ELSE '{{"{_NEW[0]}": ' || rec_id || ', "x": [{{"{_NEW[1]}": ' || to_json(source_id) || '}}]}}' END AS value FROM lora_storyteller"""
+)
 def reasoning_keys(spark, d):
-    """JSON answers with keys in one spelling (order and doubled keys as read, which no SQL type keeps)."""
-    return table(spark, d, "rpg_dataset").where(F.ltrim(F.col("output")).startswith("{")).select("rec_id", shape.canonical_keys("output").alias("output"))
+    """Conversations whose answer is JSON with two keys in an old spelling, at two depths, or plain text: with the keys in one spelling."""
+    rows = table(spark, d, "lora_storyteller")
+    answer = F.concat(F.lit(f'{{"{_OLD[0]}": '), F.col("rec_id").cast("string"), F.lit(f', "x": [{{"{_OLD[1]}": "'), "source_id", F.lit('"}]}'))
+    answer = F.when((F.col("rec_id") % 3 == 0) | F.col("source_id").isNull(), F.coalesce("source_id", F.lit(""))).otherwise(answer)
+    made = rows.select("rec_id", shape.sharegpt(F.lit(""), F.lit(""), answer).alias("conversations"))
+    return shape.canonical_reasoning(made).select("rec_id", shape.turn("conversations", "gpt").alias("value"))
 
 
 @query(
@@ -373,6 +449,24 @@ def file_health(spark, d):
     return report.file_metrics(health_records(spark, d))
 
 
+_PARTS = (
+    "r AS (SELECT file, coalesce(source, 'unknown') AS source, coalesce(language, 'unknown') AS language, CASE WHEN " + sql.matches("text", fixed.BAD_SAMPLE) + " > 0 THEN 1 ELSE 0 END AS bad FROM recs WHERE valid), "
+    "parts AS (SELECT file, 'source' AS kind, source AS name, count(*) AS records, sum(bad)::BIGINT AS bad FROM r GROUP BY ALL UNION ALL SELECT file, 'language', language, count(*), sum(bad)::BIGINT FROM r GROUP BY ALL)"
+)
+
+
+@query(f"WITH {_HEALTH}, {_PARTS} SELECT * FROM parts")
+def health_breakdown(spark, d):
+    """Records and bad samples of each file by source and by language."""
+    return report.breakdown(report.counted_texts(health_records(spark, d)))
+
+
+@query(f"WITH {_HEALTH}, {_PARTS} SELECT * FROM (SELECT file, name AS source, bad, row_number() OVER (PARTITION BY file ORDER BY bad DESC, name) AS place FROM parts WHERE kind = 'source' AND bad > 0) WHERE place <= 3")
+def health_worst_sources(spark, d):
+    """Of each file the three sources with the most bad samples."""
+    return report.worst_sources(report.breakdown(report.counted_texts(health_records(spark, d))))
+
+
 @query(f"WITH {_HEALTH} SELECT file, round(bad_rate, 6) AS bad_rate, round(dup_rate, 6) AS dup_rate, status FROM stat")
 def health_status(spark, d):
     s = report.health_status(report.file_metrics(health_records(spark, d)))

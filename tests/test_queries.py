@@ -57,7 +57,7 @@ def test_names_of_texts_with_any_character(spark, tmp_path):
     no = set(fixed.NOT_NAMES + fixed.NUMBER_WORDS)
     found = {re.sub(" +", " ", n) for t in texts if t for n in re.findall(r"\b[A-Z][a-z]{2,15}[ ]+[A-Z][a-z]{2,15}\b", t)}
     want = {n for n in found if not no & set(n.split(" "))}
-    got = {r["name"] for r in catalogue.queries()["lore_names_whole"](spark, str(tmp_path)).collect()}
+    got = {r["name"] for r in catalogue.queries()["lore_names"](spark, str(tmp_path)).collect()}
     assert got == want and {"Mira Stone", "Ada Thorn", "Orla Vane", "Karl Voss"} <= got and "Bron Tarn" not in got
 
 

@@ -58,3 +58,15 @@ def test_split_sizes(spark, n, ratio):
     assert parts.where("part = 'train'").count() == max(1, int(n * ratio))
     assert split.train_val(spark.range(0), "id").count() == 0
     assert split.sample(spark.range(n), "id", 3).count() == min(n, 3)
+
+
+def test_breakdown_as_maps(spark):
+    rows = [("f", "alpaca", "lorem ipsum", "a", "en", False, True), ("f", "alpaca", "fine words", "b", None, False, True), ("f", "alpaca", "fine words", "b", "fr", False, True), ("f", "alpaca", "", None, "en", False, False)]
+    df = spark.createDataFrame(rows, "file string, format string, text string, source string, language string, pending boolean, valid boolean")
+    parts = report.breakdown(report.counted_texts(df))
+    got = report.as_maps(parts).first()
+    assert got["by_source"] == {"b": 2, "a": 1} and got["by_language"] == {"en": 1, "fr": 1, "unknown": 1}
+    assert set(got["bad_sources"]) == {r["source"] for r in report.worst_sources(parts).collect()}
+    m = report.file_metrics(df).first()
+    assert (m["total_lines"], m["valid_records"], m["format_errors"], m["exact_dups"]) == (4, 3, 1, 1)
+    assert report.file_metrics(df.limit(0)).count() == 0

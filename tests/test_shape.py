@@ -78,3 +78,33 @@ def test_copies_and_links(spark):
     assert tuple(dedup.copies(df, "t").first()) == (3, 2, 1)
     new = spark.createDataFrame([("http://x/a/",), ("http://x/b",), (None,)], "url string")
     assert [r[0] for r in dedup.new_links(new, spark.createDataFrame([("http://x/a",)], "url string")).collect()] == ["http://x/b"]
+
+
+def test_cleaned_analyst(spark):
+    """Invalid entities go, records without any go, other values and records of sentiment stay."""
+    def talk(system, *answers):
+        return [("system", system), ("human", "h"), *[("gpt", a) for a in answers]]
+
+    mood = f"x{fixed.SENTIMENT_MARKS[0]}"
+    rows = [
+        (1, talk("ner", '{"角色": ["Mira", "12", 5, "a\\nb"], "組織": [], "n": 3}')), (2, talk("ner", "no json")), (3, talk("ner", "[1]")), (4, talk("ner", '{"角色": ["7"], "組織": []}')),
+        (5, talk(mood, "anything")), (6, talk("ner")), (7, talk("ner", "first", '{"組織": ["Lantern Guild"]}')), (8, None), (9, []),
+    ]
+    df = spark.createDataFrame(rows, "id long, conversations array<struct<from string, value string>>")
+    got = {r["id"]: r["conversations"][-1]["value"] for r in shape.cleaned_analyst(df).collect()}
+    assert got == {1: '{"角色": ["Mira"], "組織": [], "n": 3}', 5: "anything", 7: '{"組織": ["Lantern Guild"]}'}
+
+
+def test_canonical_reasoning(spark):
+    old, new = next(iter(fixed.REASONING_KEYS.items()))
+    rows = [(1, [("gpt", f'{{"{old}": [{{"{old}": 1}}]}}'), ("gpt", f'{{"{old}": 1}}')]), (2, [("gpt", "plain")]), (3, [("human", f'{{"{old}": 1}}')]), (4, None)]
+    df = spark.createDataFrame(rows, "id long, conversations array<struct<from string, value string>>")
+    got = {r["id"]: r["conversations"] and [t["value"] for t in r["conversations"]] for r in shape.canonical_reasoning(df).collect()}
+    assert got == {1: [f'{{"{new}": [{{"{new}": 1}}]}}', f'{{"{old}": 1}}'], 2: ["plain"], 3: [f'{{"{old}": 1}}'], 4: None}
+
+
+def test_lore(spark):
+    rows = [("Mira Vell met Mira Vell at Dusk Gate. The Lantern Guild waited, and The Man left.", "en"), ("Zora Quill", "fr"), (None, "en")]
+    got = {tuple(r) for r in shape.lore(spark.createDataFrame(rows, "text string, language string")).collect()}
+    assert {("person", "Mira Vell"), ("person", "Dusk Gate")} <= got and any(k == "faction" and "Lantern Guild" in n for k, n in got)
+    assert not any("Zora" in n for _, n in got)

@@ -1,10 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from inkmill.operators import state
 from inkmill.sources import files, html
-from inkmill.streaming.state import current, keep_latest
+from inkmill.streaming.state import current, forget, keep_latest
 
 
 def test_urls(spark):
@@ -85,3 +86,86 @@ def test_stream_keeps_the_latest(spark, tmp_path):
     write([("a", 3, "z"), ("b", 2, "old"), (None, 9, "w")])
     run()
     assert {(r["k"], r["t"], r["v"]) for r in current(spark, folder)[0].collect()} == {("a", 3, "z"), ("b", 5, "y")}
+
+
+def test_stream_replay(spark, tmp_path):
+    """A batch whose commit was lost is taken again and leaves the same state, as does one that was never published."""
+    folder, given = str(tmp_path / "state"), tmp_path / "in"
+    given.mkdir()
+
+    def arrive(name, *rows):
+        (given / name).write_text("".join(json.dumps(dict(zip("ktv", r))) + "\n" for r in rows))
+        stream = spark.readStream.schema("k string, t long, v string").json(str(given))
+        keep_latest(stream, "k", ["t"], ["v"], folder).awaitTermination()
+
+    def state_now():
+        return {(r["k"], r["t"], r["v"]) for r in current(spark, folder)[0].collect()}
+
+    arrive("1.json", ("a", 1, "x"), ("b", 1, "y"))
+    arrive("2.json", ("b", 2, "z"), ("c", 1, "w"))
+    want = {("a", 1, "x"), ("b", 2, "z"), ("c", 1, "w")}
+    assert state_now() == want
+    for lose_version in (False, True):
+        (tmp_path / "state/checkpoint/commits/1").unlink()
+        (tmp_path / "state/checkpoint/commits/.1.crc").unlink(missing_ok=True)
+        if lose_version:
+            (tmp_path / "state/state-1").unlink()
+            (tmp_path / "state/.state-1.crc").unlink(missing_ok=True)
+        keep_latest(spark.readStream.schema("k string, t long, v string").json(str(given)), "k", ["t"], ["v"], folder).awaitTermination()
+        assert state_now() == want
+    arrive("3.json", ("a", 0, "old"), ("d", 1, "q"))
+    assert state_now() == want | {("d", 1, "q")}
+    forget(spark, folder, "k", spark.createDataFrame([("a",), ("d",)], "k string"))
+    assert state_now() == {r for r in want if r[0] != "a"}
+
+
+def test_lines_records_and_transfer(spark, tmp_path):
+    sound = json.dumps({"instruction": "i", "output": "o"})
+    (tmp_path / "rpg_dataset.jsonl").write_text("\n".join(["", "{bad", json.dumps({"x": 1}), sound, json.dumps({"prompt": 1, "chosen": 2})]) + "\n")
+    (tmp_path / "big.jsonl").write_text("".join(f"line {i}\n" for i in range(1, 30001)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert files.numbered_lines(spark, str(tmp_path / "big.jsonl")).where("line <> concat('line ', line_no)").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    got = sorted(tuple(r) for r in files.records(spark, str(tmp_path / "rpg*.jsonl")).select("line_no", "format", F.coalesce("error", F.lit(""))).collect())
+    assert got == [(1, "alpaca", "blank"), (2, "alpaca", "bad_json"), (3, "alpaca", "unknown"), (4, "alpaca", ""), (5, "alpaca", "")]
+    found = files.dataset_files(spark, str(tmp_path / "*.jsonl")).collect()
+    assert {(r["name"], r["type"]) for r in found} == {("rpg_dataset.jsonl", "rpg_dataset"), ("big.jsonl", "unknown")}
+    big = next(r for r in found if r["name"] == "big.jsonl")
+    for md5, overwrite, want in ((big["md5"], False, "transferred"), (big["md5"], False, "exists"), ("0", True, "failed")):
+        rows = spark.createDataFrame([(big["path"], str(tmp_path / "to/big.jsonl"), md5)], "path string, to string, md5 string")
+        assert files.transferred(spark, rows, overwrite).collect()[0]["outcome"] == want
+    assert not (tmp_path / "to/big.jsonl").exists()
+
+
+def test_rewrite_survives_a_crash(spark, tmp_path):
+    at = tmp_path / "d"
+    spark.createDataFrame([("a",), ("b",)], "value string").write.text(str(at))
+    at.rename(tmp_path / "d.old")  # as after a crash between the renames
+    files.rewritten(spark, str(at), lambda df: df.where("value <> 'a'"))
+    assert [r[0] for r in spark.read.text(str(at)).collect()] == ["b"] and not (tmp_path / "d.old").exists()
+
+
+@pytest.mark.parametrize(
+    ("site", "page", "want"),
+    [
+        ("lexicanum", '<div id="mw-content-text"><p>Sources agree that the gate was shut.[1]</p><p>It stayed so for seven winters.</p><h2>Sources and other things</h2><p>They named it the quiet gate then.</p></div>', "Sources agree that the gate was shut.\n\nIt stayed so for seven winters.\n\nSources and other things\n\nThey named it the quiet gate then."),
+        ("fandom", '<div class="mw-parser-output"><aside class="portable-infobox"><p>An infobox that is long enough.</p></aside><div class="thumb"><p>A caption that is long enough.</p></div><p>The body of the page is here.</p></div>', "The body of the page is here."),
+        ("mediawiki", '<div id="mw-content-text"><table class="wikitable"><tr><td><p>A table cell that is long enough.</p></td></tr></table><p>The body of the page<sup>1</sup> is here.</p></div>', "The body of the page is here."),
+        ("ao3", '<dl class="work meta"><p>meta</p></dl><div class="userstuff"><p>Story.</p><div id="kudos"><p>kudos</p></div></div>', "Story."),
+        ("royalroad", '<div class="chapter-content"><p>One.</p><div class="author-info"><p>by</p></div></div>', "One."),
+        ("syosetu", '<div class="p-novel_view"><p>本文</p></div><p>外</p>', "本文"),
+        ("kakuyomu", '<div class="episode-body"><p>本文</p></div><p>外</p>', "本文"),
+        ("kakuyomu", "<p>外</p>", "外"),
+    ],
+)
+def test_rules_by_site(site, page, want):
+    assert html.text_of(page, site) == want
+
+
+def test_extracted_pages(spark):
+    rows = [("u", "generic", "<h2>Head</h2><p>ﬁve  words\n are here</p><nav><p>x</p></nav>"), ("v", None, ""), ("w", "ao3", None)]
+    got = html.pages(spark.createDataFrame(rows, "url string, extractor string, html string")).collect()
+    assert [r["url"] for r in got] == ["u"] and got[0]["word_count"] == 5 and got[0]["char_count"] == len(got[0]["text"])
