@@ -93,8 +93,8 @@ def classes(rows: DataFrame, key: str = "rec_id", data: str = "bytes", bucket_ro
     Buckets are prefixes of the bytes. A bucket of more than ``bucket_rows`` rows is split by twice as many bytes, again and
     again; one that can't be split, as all its texts are the same, is a hot class: its rows are spread by a salt, counted in
     several tries, and the terminal counters of these are added up. Null keys and null bytes are left out, repeated rows count
-    as copies, ties take the smallest key. No group is ever held whole by one task, only ids of at most ``bucket_rows`` rows
-    a bucket.
+    as copies, ties take the smallest key. A task holds the trie of one bucket at a time, of at most ``bucket_rows`` rows
+    or about so many of a salted one.
     """
     rows = stored(take(rows, id=F.col(key).cast("long"), bytes=data).where("id is not null and bytes is not null"), "canonical")
     levels = _oversized(rows, bucket_rows)
@@ -110,23 +110,29 @@ def classes(rows: DataFrame, key: str = "rec_id", data: str = "bytes", bucket_ro
         )
     prefix = F.expr("substring(bytes, 1, depth)")
     salt = F.when(F.col("salts") > 0, F.pmod(F.xxhash64("id"), F.col("salts"))).otherwise(F.lit(0))
-    spread = bucketed.select("id", "bytes", (F.col("salts") > 0).alias("hot"), F.xxhash64(prefix, salt).alias("bucket")).repartition("bucket")
+    spread = bucketed.select("id", "bytes", (F.col("salts") > 0).alias("hot"), F.xxhash64(prefix, salt).alias("bucket"))
+    spread = spread.repartition("bucket").sortWithinPartitions("bucket")
+
+    def counters(trie: Trie, hot: set[bytes]) -> Iterator[tuple]:
+        for text, ids in trie.terminals:
+            least, n, of = min(ids), len(ids), h128(text) if text in hot else None
+            for k, i in enumerate(ids):
+                yield i, least, n, of, k == 0
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trie, hot = Trie(), set()
+        """One trie at a time: rows come sorted by bucket, and a bucket's trie is given away when the next one begins."""
+        trie, hot, now, out = Trie(), set(), None, []
         for batch in batches:
-            for i, b, h in zip(batch["id"], batch["bytes"], batch["hot"]):
-                trie.add(bytes(b), i)
+            for i, b, h, bucket in zip(batch["id"], batch["bytes"], batch["hot"], batch["bucket"]):
+                if bucket != now:
+                    out += counters(trie, hot)
+                    trie, hot, now = Trie(), set(), bucket
+                trie.add(b := bytes(b), i)
                 if h:
-                    hot.add(bytes(b))
-        out = []
-        for text, ids in trie.terminals:
-            least, n, of = min(ids), len(ids), h128(text) if text in hot else None
-            out += [(i, least, n, of, k == 0) for k, i in enumerate(ids)]
-            if len(out) > 20_000:
-                yield pd.DataFrame(out, columns=["id", "least", "n", "hot", "first"])
-                out = []
-        yield pd.DataFrame(out, columns=["id", "least", "n", "hot", "first"])
+                    hot.add(b)
+            yield pd.DataFrame(out, columns=["id", "least", "n", "hot", "first"])
+            out = []
+        yield pd.DataFrame(counters(trie, hot), columns=["id", "least", "n", "hot", "first"])
 
     counted = spread.mapInPandas(count, "id long, least long, n long, hot binary, first boolean")
     if any(heavy.where("whole").limit(1).count() for _, heavy in levels):

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .columns import take
 from .text import CJK, WORD, fold, is_cjk, squeeze
 
@@ -136,7 +137,7 @@ def overlaps(
     wholly is always hit, so no run of 15 words or 40 characters is missed. Case, punctuation and white space don't count.
 
     Items are the query side. They are cut into blocks of at most ``block_chars`` characters, and each block's index, which is
-    thereby bounded, is shipped to one pass over the documents; documents are never shuffled. Null or empty texts match
+    thereby bounded, is shipped to one pass over the documents; documents are never shuffled, and the driver holds one block at a time. Null or empty texts match
     nothing; repeated documents give repeated rows, repeated items one row each; null keys are kept on the document side and
     dropped on the item side.
     """
@@ -165,7 +166,9 @@ def overlaps(
                 ]
                 yield pd.DataFrame(rows, columns=[key, item_key, "run", "unit", "share"])
 
-        parts.append(wanted.mapInPandas(scan, f"`{key}` {kind}, `{item_key}` long, run long, unit string, share double"))
+        found = wanted.mapInPandas(scan, f"`{key}` {kind}, `{item_key}` long, run long, unit string, share double")
+        # of several blocks each one's hits are written before the next block is fetched, so that the driver holds one at a time
+        parts.append(found if count == 1 else stored(found, "overlaps"))
     return reduce(DataFrame.unionByName, parts)
 
 
