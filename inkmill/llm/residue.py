@@ -149,6 +149,8 @@ def kind(text: str | None) -> str | None:
 #: Sources over which a message has to recur before weak words count, and before a long text can be one; the share of its characters
 #: that must stand in sentences of messages then.
 SOURCES, MESSAGE_SHARE = 3, 0.5
+#: Keys (16 bytes each) that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
 _SENTENCE = re.compile(r"[^.!?。！？\n>]+[.!?。！？>]*")
 
 
@@ -212,8 +214,10 @@ def residue(*tables: DataFrame, key: str = "rec_id", text: str = "output", sourc
     )
     short = groups.where("short").select("group", _group_kind("sample", "sources").alias("kind"))
     recurring = groups.where(~F.col("short") & (F.col("sources") >= SOURCES)).select("group", F.col("first").alias("k"))
-    # the texts that stand for long groups are few and are fetched before they are looked at
-    standing = stored(rows.join(recurring, F.col(key) == F.col("k")).groupBy("group").agg(F.min("text").alias("text")), "standing")
+    # only the texts that stand for long groups are fetched, by their keys alone: so many keys are broadcast, more are joined by a shuffle
+    recurring = stored(recurring, "recurring")
+    wanted = F.broadcast(recurring) if recurring.count() <= BROADCAST_ROWS else recurring
+    standing = stored(rows.join(wanted, F.col(key) == F.col("k")).groupBy("group").agg(F.min("text").alias("text")), "standing")
     classified = short.unionByName(standing.select("group", _long_kind("text").alias("kind"))).where("kind is not null")
     return (
         messages.select(key, "group").join(classified, "group").select(key, "kind")
