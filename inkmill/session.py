@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,10 +29,13 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "inkmi
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Where a session names none (tests on one machine), a fresh folder is made and named in the session.
+    Where a session on one machine names none, as in tests, a fresh folder is made and named in the session; on a cluster that is
+    an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="inkmill-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -48,11 +52,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, most_bytes: int = 4 << 30) -> DataFrame:
     """``df`` over all cores if it lies in fewer splits than half of them, as one small file does; else as it is.
 
-    For tables that Python or regexes work on for long. Data of many files is never moved; projections and filters are pushed
-    below the exchange.
+    For tables that Python or regexes work on for long. Only tables of at most ``most_bytes`` by the optimizer's estimate are moved;
+    projections and filters are pushed below the exchange.
     """
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > most_bytes:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.rdd().getNumPartitions() * 2 <= cores else df
